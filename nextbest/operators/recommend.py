@@ -14,13 +14,17 @@ def exclude_owned(scores: DataFrame, history: DataFrame) -> DataFrame:
                        "left_anti")
 
 
-def new_customers(scores: DataFrame, novel: DataFrame) -> DataFrame:
-    """Score rows of customers with no novel product left.
+def new_customers(scores: DataFrame, history: DataFrame) -> DataFrame:
+    """Score rows of customers that are not "old".
 
-    These are cold-start customers and customers who already own every scored
-    product; the reference offers them their whole scored list.
+    Old customers have a purchase history and at least one scored product they
+    do not own.  Everyone else (cold-start customers, and customers who own
+    every scored product) is new and keeps the whole scored list.
     """
-    return scores.join(novel.select("customer").distinct(), "customer", "left_anti")
+    owners = history.select("customer").distinct()
+    old = (exclude_owned(scores, history).select("customer").distinct()
+           .join(owners, "customer", "left_semi"))
+    return scores.join(old, "customer", "left_anti")
 
 
 def all_candidates(scores: DataFrame, history: DataFrame,
