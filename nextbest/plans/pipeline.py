@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from nextbest.operators import bayes, recommend
+from pyspark.sql import functions as F
+
+from nextbest.operators import bayes, evaluate, recommend
 from nextbest.plans import standins as S
 
 
@@ -42,3 +44,25 @@ def recommend_standin(t: S.Tables, cutoff: str = S.TRAIN_CUTOFF, k: int = recomm
     fitted = fit_standin(t, cutoff)
     cands = recommend.all_candidates(score_standin(fitted), history(fitted), exhausted)
     return recommend.recommend_topk(cands, k)
+
+
+def recommend_and_evaluate(t: S.Tables, k: int = recommend.DEFAULT_K,
+                           cutoff: str = S.TRAIN_CUTOFF, actual_end: str = S.ACTUAL_END
+                           ) -> DataFrame:
+    """Fit before ``cutoff``, rank top-k, score against purchases in ``[cutoff, actual_end)``.
+
+    One row: ranked customers, recommendations, evaluated customers, MAP@k.
+    """
+    fitted = fit_standin(t, cutoff)
+    hist = history(fitted)
+    ranked = recommend.recommend_topk(
+        recommend.all_candidates(score_standin(fitted), hist), k)
+    ranked.persist()
+    actual = S.actual_purchases(t, hist, cutoff, actual_end)
+    predicted = ranked.select("customer", "rank", F.col("product").alias("item"))
+    m = evaluate.map_at_k(predicted, actual.select("customer", F.col("product").alias("item")), k)
+    stats = ranked.agg(F.countDistinct("customer").cast("bigint").alias("c"),
+                       F.count(F.lit(1)).cast("bigint").alias("r"))
+    return m.select(stats.select("c").scalar().alias("n_ranked_customers"),
+                    stats.select("r").scalar().alias("n_recommendations"),
+                    F.col("n_customers").alias("n_evaluated"), "map_at_k")

@@ -238,9 +238,24 @@ def q_map_at_k(spark, sf):
     return m.select(_r9(F.col("map_at_k")).alias("map_at_k"), "n_customers")
 
 
+@register("recommend_and_evaluate", _EVAL + """
+select (select cast(count(distinct customer) as bigint) from ranked) as n_ranked_customers,
+       (select cast(count(*) as bigint) from ranked) as n_recommendations,
+       cast(count(*) as bigint) as n_evaluated,
+       round(avg(ap), 9) as map_at_k
+from ap""")
+def q_recommend_and_evaluate(spark, sf):
+    return P.recommend_and_evaluate(S.Tables(spark, sf), K).select(
+        "n_ranked_customers", "n_recommendations", "n_evaluated",
+        _r9(F.col("map_at_k")).alias("map_at_k"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql}
+
+
+from nextbest.plans import queries_clean  # noqa: E402,F401  (registers the rest)

@@ -113,3 +113,68 @@ ap as (
   group by n.customer, n.n_actual
 )
 """
+
+
+def raw_snapshot_cte() -> str:
+    """``raw`` (and ``rawc``, the same with a row-order key): the raw-snapshot stand-in."""
+    return """
+with raw as (
+  select
+    strftime(cast(o.o_orderdate as date), '%Y-%m-%d') as fecha_dato,
+    o.o_custkey as ncodpers,
+    case when o.o_orderpriority = '5-LOW' and o.o_orderstatus = 'P' then '         NA'
+         else ' ' || cast(cast(floor(o.o_totalprice / 4000) as bigint) as varchar) end as age,
+    case when o.o_orderpriority = '1-URGENT' and o.o_orderstatus = 'F' then null
+         else strftime(cast(o.o_orderdate as date)
+                       - cast(cast(floor(o.o_totalprice) as bigint) % 3000 as integer),
+                       '%Y-%m-%d') end as fecha_alta,
+    case when o.o_orderpriority = '2-HIGH' and o.o_orderstatus = 'F' then null
+         when o.o_orderstatus = 'O' then 1 else 0 end as ind_nuevo,
+    case when o.o_orderpriority = '3-MEDIUM' and o.o_orderstatus = 'P' then 'NA'
+         else '  ' || cast(cast(floor(date_diff('day', date '1996-01-01',
+                                                cast(o.o_orderdate as date)) / 30) as bigint)
+                           as varchar) end as antiguedad,
+    case when o.o_orderpriority = '4-NOT SPECIFIED' and o.o_orderstatus = 'O' then null
+         when o.o_orderstatus = 'P' then 99 else 1 end as indrel,
+    case when o.o_orderpriority = '1-URGENT' and o.o_orderstatus = 'P'
+         then strftime(cast(o.o_orderdate as date), '%Y-%m-%d') end as ult_fec_cli_1t,
+    case o.o_orderpriority when '1-URGENT' then '1.0' when '2-HIGH' then '1'
+         when '3-MEDIUM' then '3.0' when '4-NOT SPECIFIED' then 'P' end as indrel_1mes,
+    case o.o_orderstatus when 'O' then 'A' when 'F' then 'I' end as tiprel_1mes,
+    case when c.c_mktsegment in ('BUILDING', 'MACHINERY') then 'V' else 'H' end as sexo,
+    cast(null as varchar) as conyuemp,
+    case when c.c_acctbal <= 9000 then 'K' || substr(c.c_mktsegment, 1, 2) end as canal_entrada,
+    case when o.o_orderpriority = '2-HIGH' and o.o_orderstatus = 'P' then null
+         else 'N' end as indfall,
+    1 as tipodom,
+    c.c_nationkey as cod_prov,
+    case when c.c_mktsegment = 'AUTOMOBILE' and o.o_orderstatus = 'P' then null
+         else n.n_name end as nomprov,
+    case when o.o_orderpriority = '5-LOW' and o.o_orderstatus = 'F' then null
+         when o.o_orderstatus = 'O' then 1 else 0 end as ind_actividad_cliente,
+    case when c.c_acctbal >= 0 then c.c_acctbal end as renta,
+    c.c_mktsegment as segmento,
+    case when o.o_orderpriority in ('1-URGENT', '2-HIGH') then 1 else 0 end as ind_cco_fin_ult1,
+    case when o.o_orderpriority = '3-MEDIUM' and o.o_orderstatus = 'F' then null
+         when o.o_totalprice > 250000 then 1 else 0 end as ind_nomina_ult1,
+    case when o.o_orderpriority = '4-NOT SPECIFIED' and o.o_orderstatus = 'P' then null
+         when o.o_orderstatus = 'F' then 1 else 0 end as ind_nom_pens_ult1
+  from orders o join customer c on c.c_custkey = o.o_custkey
+  join nation n on n.n_nationkey = c.c_nationkey
+)
+"""
+
+
+def brand_flags_cte(cutoff: str = S.TRAIN_CUTOFF) -> str:
+    """``flags``: one row per training order, one 0/1 column per brand (append to model_ctes)."""
+    cols = ",\n    ".join(
+        f"cast(coalesce(max(case when b.product = '{p}' then 1 end), 0) as integer) as \"{p}\""
+        for p in S.brand_catalogue())
+    return f""",
+flags as (
+  select t.o_orderkey, t.customer,
+    {cols}
+  from train_orders t left join basket b on b.o_orderkey = t.o_orderkey
+  group by t.o_orderkey, t.customer
+)
+"""

@@ -71,3 +71,90 @@ def actual_purchases(t: Tables, history: DataFrame, start: str = TRAIN_CUTOFF,
     later = basket(t, orders_between(t, start, end)).select("customer", "product").distinct()
     return later.join(history.select("customer", "product"), ["customer", "product"],
                       "left_anti")
+
+
+# --------------------------------------------------------------------------- snapshot stand-ins
+
+def brand_catalogue(n: int = 25) -> list[str]:
+    """Product catalogue of the test tables: ``Brand#1`` .. ``Brand#n``."""
+    return [f"Brand#{i}" for i in range(1, n + 1)]
+
+
+def brand_flags(t: Tables, cutoff: str = TRAIN_CUTOFF) -> DataFrame:
+    """Wide training snapshot: one row per training order, one 0/1 column per brand.
+
+    The catalogue is given, so ``pivot`` needs no extra job to find it; orders
+    without line items keep a row of zeros (they still count as instances).
+    """
+    orders = orders_between(t, None, cutoff)
+    facts = basket(t, orders)
+    wide = (facts.groupBy("o_orderkey").pivot("product", brand_catalogue())
+            .agg(F.count(F.lit(1))))
+    out = orders.join(wide, "o_orderkey", "left")
+    return out.select("o_orderkey", "customer",
+                      *[F.coalesce(F.col(b), F.lit(0)).cast("int").alias(b)
+                        for b in brand_catalogue()])
+
+
+# Fixed values of the stand-in: relation-month text per order priority.
+PRIORITY_RELATION_TEXT = {"1-URGENT": "1.0", "2-HIGH": "1", "3-MEDIUM": "3.0",
+                          "4-NOT SPECIFIED": "P"}
+
+
+def raw_snapshot(t: Tables) -> DataFrame:
+    """Raw-snapshot stand-in, one row per order (all orders), as untyped text.
+
+    Values come from the order, its customer and nation; nulls, NA tokens,
+    junk-padded numbers and variant codes are derived from the order's
+    priority and status so both engines make the same ones.
+    """
+    o = t.read("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority"])
+    c = t.read("customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    n = t.read("nation", ["n_nationkey", "n_name"])
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+
+    def unless(p: str, s: str, value):
+        return F.when(~((pr == p) & (st == s)), value)
+
+    day = F.to_date("o_orderdate")
+    age = F.concat(F.lit(" "), F.floor(F.col("o_totalprice") / 4000).cast("bigint").cast("string"))
+    seniority = F.floor(F.datediff(day, F.lit("1996-01-01").cast("date")) / 30).cast("bigint")
+    rel_text = F.lit(None).cast("string")
+    for k, v in PRIORITY_RELATION_TEXT.items():
+        rel_text = F.when(pr == k, F.lit(v)).otherwise(rel_text)
+    return j.select(
+        F.date_format(day, "yyyy-MM-dd").alias("fecha_dato"),
+        F.col("o_custkey").alias("ncodpers"),
+        F.when((pr == "5-LOW") & (st == "P"), F.lit("         NA")).otherwise(age).alias("age"),
+        unless("1-URGENT", "F", F.date_format(
+            F.date_sub(day, F.pmod(F.floor("o_totalprice"), F.lit(3000)).cast("int")),
+            "yyyy-MM-dd")).alias("fecha_alta"),
+        unless("2-HIGH", "F", F.when(st == "O", 1).otherwise(0)).alias("ind_nuevo"),
+        F.when((pr == "3-MEDIUM") & (st == "P"), F.lit("NA"))
+        .otherwise(F.concat(F.lit("  "), seniority.cast("string"))).alias("antiguedad"),
+        unless("4-NOT SPECIFIED", "O", F.when(st == "P", 99).otherwise(1)).alias("indrel"),
+        F.when((pr == "1-URGENT") & (st == "P"), F.date_format(day, "yyyy-MM-dd"))
+        .alias("ult_fec_cli_1t"),
+        rel_text.alias("indrel_1mes"),
+        F.when(st == "O", "A").when(st == "F", "I").alias("tiprel_1mes"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "V").otherwise("H")
+        .alias("sexo"),
+        F.lit(None).cast("string").alias("conyuemp"),
+        F.when(F.col("c_acctbal") <= 9000,
+               F.concat(F.lit("K"), F.substring("c_mktsegment", 1, 2))).alias("canal_entrada"),
+        unless("2-HIGH", "P", F.lit("N")).alias("indfall"),
+        F.lit(1).alias("tipodom"),
+        F.col("c_nationkey").alias("cod_prov"),
+        F.when(~((F.col("c_mktsegment") == "AUTOMOBILE") & (st == "P")), F.col("n_name"))
+        .alias("nomprov"),
+        unless("5-LOW", "F", F.when(st == "O", 1).otherwise(0)).alias("ind_actividad_cliente"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("renta"),
+        F.col("c_mktsegment").alias("segmento"),
+        F.when(pr.isin("1-URGENT", "2-HIGH"), 1).otherwise(0).alias("ind_cco_fin_ult1"),
+        unless("3-MEDIUM", "F", F.when(F.col("o_totalprice") > 250000, 1).otherwise(0))
+        .alias("ind_nomina_ult1"),
+        unless("4-NOT SPECIFIED", "P", F.when(st == "F", 1).otherwise(0))
+        .alias("ind_nom_pens_ult1"),
+    )
