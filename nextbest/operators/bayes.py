@@ -27,7 +27,7 @@ Scale notes
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -51,12 +51,25 @@ class NaiveBayesModel:
     prior: DataFrame
     likelihood: DataFrame
     wide_attrs: tuple[str, ...] = ()
+    n_products: int | None = None      # checked row counts, set by ``checked``
+    n_narrow: int | None = None
 
     def persist(self) -> "NaiveBayesModel":
         self.prior.persist(StorageLevel.MEMORY_AND_DISK)
         self.likelihood.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
+    def narrow_likelihood(self) -> DataFrame:
+        lik = self.likelihood.select("attr", "value", "product", "ll")
+        return lik.where(~F.col("attr").isin(list(self.wide_attrs))) if self.wide_attrs else lik
+
+    def checked(self) -> "NaiveBayesModel":
+        """Persist and count the broadcast candidates once (two small jobs), so
+        scoring decides its join strategy without further jobs."""
+        self.persist()
+        return replace(self, n_products=self.prior.count(),
+                       n_narrow=self.narrow_likelihood().count())
+
 
 # --------------------------------------------------------------------------- counts
 
@@ -160,7 +173,7 @@ def fit_basket(instances: DataFrame, basket: DataFrame, attributes: DataFrame,
     for p in parts[1:]:
         freq_all = freq_all.unionByName(p)
     lik = nb_likelihood(freq_all, freq, max_broadcast_rows)
-    model = NaiveBayesModel(prior, lik, (id_attr,) if id_attr else ()).persist()
+    model = NaiveBayesModel(prior, lik, (id_attr,) if id_attr else ()).checked()
     return model, counts
 
 
@@ -186,7 +199,7 @@ def fit_snapshot(snapshot: DataFrame, attr_cols: list[str], product_cols: list[s
     attr_freq = (by_value.unpivot(["attr", "value"], product_cols, "product", "c")
                  .where(F.col("c") > 0))
     lik = nb_likelihood(attr_freq, freq, max_broadcast_rows)
-    return NaiveBayesModel(prior, lik, tuple(wide_attrs)).persist()
+    return NaiveBayesModel(prior, lik, tuple(wide_attrs)).checked()
 
 
 # --------------------------------------------------------------------------- score
@@ -209,10 +222,10 @@ def nb_match(model: NaiveBayesModel, facts: DataFrame,
     wide = list(model.wide_attrs)
     lik = model.likelihood.select("attr", "value", "product", "ll")
     narrow_facts = facts.where(~F.col("attr").isin(wide)) if wide else facts
-    narrow_lik = lik.where(~F.col("attr").isin(wide)) if wide else lik
+    narrow_lik = model.narrow_likelihood()
     matched = join_small(narrow_facts, narrow_lik, ["attr", "value"],
                          max_rows=max_broadcast_rows, salts=salts,
-                         salt_by=["customer"])
+                         salt_by=["customer"], known_rows=model.n_narrow)
     out = matched.select("customer", "product", "ll")
     if wide:
         wide_matched = (facts.where(F.col("attr").isin(wide))
@@ -234,7 +247,7 @@ def nb_score(model: NaiveBayesModel, facts: DataFrame,
               .groupBy("customer", "product").agg(F.sum("ll").alias("ll_sum")))
     prior = model.prior.select("product", "log_prior")
     scored = join_small(summed, prior, ["product"], max_rows=max_broadcast_rows,
-                        salts=salts, salt_by=["customer"])
+                        salts=salts, salt_by=["customer"], known_rows=model.n_products)
     return scored.select(
         "customer", "product",
         F.round(F.col("ll_sum") + F.col("log_prior"), SCORE_DECIMALS).alias("score"))

@@ -45,8 +45,15 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
-               salt_by: list[str | Column] | None = None) -> DataFrame:
-    """Broadcast ``small`` if its checked size allows, else a salted shuffle join."""
-    if fits_broadcast(small, max_rows):
+               salt_by: list[str | Column] | None = None,
+               known_rows: int | None = None) -> DataFrame:
+    """Broadcast ``small`` if its checked size allows, else a salted shuffle join.
+
+    ``known_rows`` is a row count measured earlier on this same (persisted)
+    table; without it the table is counted here.
+    """
+    small_enough = known_rows <= max_rows if known_rows is not None else \
+        fits_broadcast(small, max_rows)
+    if small_enough:
         return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salts, salt_by)

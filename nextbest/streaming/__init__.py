@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference reads its files once; it has no watermark, window or state.
+``scoring.recommend_stream`` only runs the batch recommender on each
+micro-batch of new customer snapshots (``foreachBatch``), so a fitted model
+can serve a file-drop stream with the same results as a batch run.
+"""

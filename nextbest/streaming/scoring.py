@@ -1,0 +1,30 @@
+"""Micro-batch scoring of a snapshot stream with a fitted model."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from nextbest.operators import bayes, recommend
+
+
+def recommend_stream(snapshots: DataFrame, model: bayes.NaiveBayesModel, history: DataFrame,
+                     attr_cols: list[str], sink_path: str, checkpoint_path: str,
+                     id_attr: str | None = None, customer: str = "customer",
+                     k: int = recommend.DEFAULT_K, trigger_once: bool = True) -> StreamingQuery:
+    """Score every micro-batch of ``snapshots`` and append its top-k to ``sink_path``.
+
+    Each batch runs the batch operators (broadcast or salted joins against the
+    persisted model, anti-join with ``history``, windowed top-k), so results
+    equal a batch run over the same rows.  ``checkpoint_path`` must be on
+    shared storage so that a restarted query resumes after the last batch.
+    """
+    def score_batch(batch: DataFrame, epoch_id: int) -> None:
+        facts = bayes.scoring_facts(batch, attr_cols, id_attr, customer)
+        cands = recommend.all_candidates(bayes.nb_score(model, facts), history)
+        (recommend.recommend_topk(cands, k).write.mode("append").parquet(sink_path))
+
+    writer = (snapshots.writeStream.foreachBatch(score_batch)
+              .option("checkpointLocation", checkpoint_path))
+    writer = writer.trigger(availableNow=True) if trigger_once else writer
+    return writer.start()

@@ -1,0 +1,28 @@
+"""A stream of customer snapshots scored per micro-batch equals the batch result."""
+
+import tempfile
+
+from nextbest.operators import bayes, recommend
+from nextbest.plans import pipeline as P
+from nextbest.plans import standins as S
+from nextbest.streaming.scoring import recommend_stream
+
+from conftest import SF_SMALL
+
+
+def test_stream_equals_batch(spark):
+    t = S.Tables(spark, SF_SMALL)
+    fitted = P.fit_standin(t)
+    hist = P.history(fitted)
+    d = tempfile.mkdtemp(prefix="nextbest-stream-")
+    fitted.attributes.repartition(3).write.parquet(d + "/in")
+    stream = spark.readStream.schema(fitted.attributes.schema).option(
+        "maxFilesPerTrigger", 1).parquet(d + "/in")
+    q = recommend_stream(stream, fitted.model, hist, S.ATTR_COLS, d + "/out", d + "/ckpt",
+                         id_attr=S.ID_ATTR)
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(d + "/out").collect())
+    facts = bayes.scoring_facts(fitted.attributes, S.ATTR_COLS, S.ID_ATTR)
+    want = sorted(tuple(r) for r in recommend.recommend_topk(
+        recommend.all_candidates(bayes.nb_score(fitted.model, facts), hist), 7).collect())
+    assert got == want
