@@ -138,7 +138,7 @@ def group_median_fill(df: DataFrame, col: str, group: str) -> DataFrame:
     by_group = exact_median(df, col, [group], out="__gmed")
     overall = exact_median(df, col).first()
     overall_v = overall["median"] if overall else None
-    joined = join_small(df, by_group, [group], "left", salt_by=[group, col])
+    joined = join_small(df, by_group, [group], "left")
     dtype = dict(df.dtypes)[col]
     return (joined.withColumn(col, F.coalesce(F.col(col), F.col("__gmed").cast(dtype),
                                               F.lit(overall_v).cast(dtype)))

@@ -8,7 +8,9 @@ per-partition block sizes (at most partitions x groups-per-partition rows)
 gives every block its offset.
 
 On top of that: exact medians (interpolated, as pandas ``median``) and lower
-medians (``percentile_disc(0.5)``), per group or global.
+medians (``percentile_disc(0.5)``), per group or global.  Medians first
+collapse copies of a value into one weighted row, so even a value held by a
+third of all rows is one row by the time it is range-partitioned.
 """
 
 from __future__ import annotations
@@ -29,10 +31,14 @@ def _sort_key(c: str | Column, nulls_last: bool) -> Column:
 
 def positions(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
               pos: str = "pos", nulls_last: bool = False,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Add the 1-based position of each row in its group, ordered by ``order_cols``.
 
-    Ties get distinct consecutive positions in an unspecified order.
+    Without ``weight`` ties get distinct consecutive positions in an unspecified
+    order.  With ``weight`` (a count column) ``pos`` is the cumulative weight up to
+    and including the row, so a row of weight ``w`` covers positions
+    ``pos - w + 1 .. pos``; pre-aggregating copies into one weighted row keeps a
+    value repeated a billion times from landing in one range partition.
     """
     groups = list(group_cols or [])
     keys = [_sort_key(c, nulls_last) for c in groups + order_cols]
@@ -47,16 +53,24 @@ def positions(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     # the cluster's checkpoint folder fixes them and survives executor loss.
     ensure_checkpoint_dir(df.sparkSession)
     s = s.checkpoint(eager=True)
+    w = F.col(weight) if weight else F.lit(1)
     blocks = s.groupBy("__pid", *groups).agg(F.min("__i").alias("__i0"),
-                                             F.count(F.lit(1)).alias("__n"))
+                                             F.sum(w).alias("__n"))
     before = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    if weight:
+        # running weight inside one (partition, group) block: bounded by a partition
+        run = Window.partitionBy("__pid", *groups).orderBy("__i").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        s = s.withColumn("__local", F.sum(w).over(run))
+    else:
+        s = s.withColumn("__local", F.col("__i") + 1)
     out = join_small(s, blocks.select("__pid", *groups, "__i0", "__off"), ["__pid", *groups],
                      salt_by=["__i"])
-    return (out.withColumn(pos, (F.col("__i") - F.col("__i0") + F.col("__off") + 1)
-                           .cast("bigint"))
-            .drop("__pid", "__i", "__i0", "__off"))
+    local = F.col("__local") if weight else F.col("__local") - F.col("__i0")
+    return (out.withColumn(pos, (local + F.col("__off")).cast("bigint"))
+            .drop("__pid", "__i", "__i0", "__off", "__local"))
 
 
 def _with_group(df: DataFrame, group_cols: list[str] | None) -> tuple[DataFrame, list[str]]:
@@ -65,17 +79,29 @@ def _with_group(df: DataFrame, group_cols: list[str] | None) -> tuple[DataFrame,
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
+def _weighted(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """``(groups..., value, __w)``: copies collapsed by a partial aggregate."""
+    return df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__w"))
+
+
+def _covers(k) -> "Column":
+    return (F.col("pos") - F.col("__w") < k) & (k <= F.col("pos"))
+
+
 def exact_median(df: DataFrame, value: str, group_cols: list[str] | None = None,
                  out: str = "median") -> DataFrame:
     """``(groups..., median)``: exact median of non-null values, interpolated."""
     data, groups = _with_group(df.where(F.col(value).isNotNull()), group_cols)
-    data = data.select(*groups, value)
-    n = data.groupBy(*groups).agg(F.count(F.lit(1)).alias("__cnt"))
-    ranked = join_small(positions(data, [value], groups), n, groups)
+    counted = _weighted(data.select(*groups, value), value, groups)
+    n = counted.groupBy(*groups).agg(F.sum("__w").alias("__cnt"))
+    ranked = join_small(positions(counted, [value], groups, weight="__w"), n, groups)
     lo = F.floor((F.col("__cnt") + 1) / 2)
     hi = F.ceil((F.col("__cnt") + 1) / 2)
-    picks = ranked.where((F.col("pos") == lo) | (F.col("pos") == hi))
-    res = picks.groupBy(*groups).agg(F.avg(F.col(value).cast("double")).alias(out))
+    picks = ranked.select(*groups, value, F.when(_covers(lo), 1).otherwise(0).alias("__a"),
+                          F.when(_covers(hi), 1).otherwise(0).alias("__b"))
+    picks = picks.where((F.col("__a") + F.col("__b")) > 0)
+    total = F.sum(F.col(value).cast("double") * (F.col("__a") + F.col("__b")))
+    res = picks.groupBy(*groups).agg((total / 2).alias(out))
     return res.drop(_G) if not group_cols else res
 
 
@@ -90,9 +116,10 @@ def lower_median(df: DataFrame, value: str, group_cols: list[str] | None = None,
     """
     base = df if nulls_counted else df.where(F.col(value).isNotNull())
     data, groups = _with_group(base, group_cols)
-    data = data.select(*groups, value)
-    n = data.groupBy(*groups).agg(F.count(F.lit(1)).alias("__cnt"))
-    ranked = join_small(positions(data, [value], groups, nulls_last=True), n, groups)
-    picks = ranked.where(F.col("pos") == F.floor((F.col("__cnt") - 1) / 2) + 1)
+    counted = _weighted(data.select(*groups, value), value, groups)
+    n = counted.groupBy(*groups).agg(F.sum("__w").alias("__cnt"))
+    ranked = join_small(positions(counted, [value], groups, nulls_last=True, weight="__w"),
+                        n, groups)
+    picks = ranked.where(_covers(F.floor((F.col("__cnt") - 1) / 2) + 1))
     res = picks.select(*groups, F.col(value).alias(out))
     return res.drop(_G) if not group_cols else res

@@ -40,3 +40,24 @@ def test_lower_median_matches_percentile_disc(spark, skewed):
     for g, s in pdf.groupby("g")["v"]:
         vals = np.sort(s.dropna().to_numpy())
         assert got[g] == vals[(len(vals) - 1) // 2]
+
+
+def test_medians_with_one_value_holding_most_rows(spark):
+    rng = np.random.default_rng(3)
+    v = np.where(rng.random(3000) < 0.7, 0.0, rng.integers(1, 9, 3000).astype(float))
+    g = np.where(rng.random(3000) < 0.5, "x", "y")
+    pdf = pd.DataFrame({"g": g, "v": v})
+    df = spark.createDataFrame(pdf)
+    got = {r.g: r.median for r in exact_median(df, "v", ["g"]).collect()}
+    assert got == pytest.approx(pdf.groupby("g")["v"].median().to_dict())
+    low = {r.g: r.median for r in lower_median(df, "v", ["g"]).collect()}
+    for key, s in pdf.groupby("g")["v"]:
+        vals = np.sort(s.to_numpy())
+        assert low[key] == vals[(len(vals) - 1) // 2]
+
+
+def test_weighted_positions_cover_counts(spark):
+    df = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("b", 5.0, 2), ("a", 0.5, 2)],
+                               "g string, v double, w long")
+    got = {(r.g, r.v): r.pos for r in positions(df, ["v"], ["g"], weight="w").collect()}
+    assert got == {("a", 0.5): 2, ("a", 1.0): 5, ("a", 2.0): 6, ("b", 5.0): 2}
