@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nextbest.operators.features import attr_long
-from nextbest.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, join_small
+from nextbest.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, join_small,
+                                      salted_join)
 
 SCORE_DECIMALS = 9
 
@@ -215,23 +216,43 @@ def scoring_facts(scoring: DataFrame, attr_cols: list[str], id_attr: str | None
     return attr_long(base, ["customer"], cols)
 
 
+def _collapse(facts: DataFrame) -> DataFrame:
+    """Copies of a scoring fact -> one row with multiplicity ``__m`` (partial aggregate).
+
+    A customer on many scoring rows then adds one row per attribute to a
+    shuffle, and its likelihoods are multiplied instead of repeated.
+    """
+    return facts.groupBy("customer", "attr", "value").agg(F.count(F.lit(1)).alias("__m"))
+
+
 def nb_match(model: NaiveBayesModel, facts: DataFrame,
              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
              salts: int = DEFAULT_SALTS) -> DataFrame:
-    """``(customer, product, ll)``: every likelihood matched by a customer fact."""
+    """``(customer, product, ll)``: every likelihood matched by a customer fact.
+
+    Narrow attributes join a broadcast likelihood map-side (copies cost
+    nothing there); shuffled joins (wide attributes, or narrow ones above the
+    broadcast limit) first collapse copies of a fact.
+    """
     wide = list(model.wide_attrs)
     lik = model.likelihood.select("attr", "value", "product", "ll")
     narrow_facts = facts.where(~F.col("attr").isin(wide)) if wide else facts
     narrow_lik = model.narrow_likelihood()
-    matched = join_small(narrow_facts, narrow_lik, ["attr", "value"],
-                         max_rows=max_broadcast_rows, salts=salts,
-                         salt_by=["customer"], known_rows=model.n_narrow)
-    out = matched.select("customer", "product", "ll")
+    n_narrow = model.n_narrow if model.n_narrow is not None else \
+        narrow_lik.limit(max_broadcast_rows + 1).count()
+    if n_narrow <= max_broadcast_rows:
+        matched = (narrow_facts.join(F.broadcast(narrow_lik), ["attr", "value"])
+                   .select("customer", "product", "ll"))
+    else:
+        matched = (salted_join(_collapse(narrow_facts), narrow_lik, ["attr", "value"],
+                               salts=salts, salt_by=["customer", "attr"])
+                   .select("customer", "product", (F.col("ll") * F.col("__m")).alias("ll")))
     if wide:
-        wide_matched = (facts.where(F.col("attr").isin(wide))
+        wide_matched = (_collapse(facts.where(F.col("attr").isin(wide)))
                         .join(lik.where(F.col("attr").isin(wide)), ["attr", "value"]))
-        out = out.unionByName(wide_matched.select("customer", "product", "ll"))
-    return out
+        matched = matched.unionByName(wide_matched.select(
+            "customer", "product", (F.col("ll") * F.col("__m")).alias("ll")))
+    return matched
 
 
 def nb_score(model: NaiveBayesModel, facts: DataFrame,

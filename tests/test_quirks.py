@@ -153,3 +153,21 @@ def test_salted_join_matches_plain_join_on_a_hot_key(spark):
     b = sorted(tuple(r) for r in salted_join(big, small, ["k"], salts=8,
                                               salt_by=["customer"]).collect())
     assert a == b
+
+
+def test_repeated_scoring_row_on_shuffled_paths(spark):
+    # id attribute (wide, shuffled) and narrow attribute forced past the broadcast limit
+    basket = spark.createDataFrame([(1, 1, "p1"), (2, 2, "p1"), (3, 1, "p2")],
+                                   "instance long, customer long, product string")
+    inst = spark.createDataFrame([(1, 1), (2, 2), (3, 1)], "instance long, customer long")
+    at = spark.createDataFrame([(1, "x"), (2, "y")], "customer long, a string")
+    model, _ = bayes.fit_basket(inst, basket, at, ["a"], id_attr="cid")
+    sc = spark.createDataFrame([(1, "x"), (1, "x")], "customer long, a string")
+    facts = bayes.scoring_facts(sc, ["a"], "cid")
+    fast = {(r.customer, r.product): r.score for r in bayes.nb_score(model, facts).collect()}
+    slow = {(r.customer, r.product): r.score
+            for r in bayes.nb_score(model, facts, max_broadcast_rows=0, salts=3).collect()}
+    assert fast == slow
+    # p1: attr x seen once with p1 (f=2), id 1 owns p1 once; both counted twice, prior once
+    ll = 2 * math.log(2 / 3) + 2 * math.log(2 / 3)
+    assert fast[(1, "p1")] == pytest.approx(ll + math.log(2 / 3), abs=1e-9)
