@@ -36,17 +36,21 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is made and registered.
+    On a cluster that setting points at shared storage and is used as is; if it
+    is missing there, this raises instead of inventing a machine-local folder.
+    Only in local mode (tests, bench) a scratch folder is made and registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store); nextbest checkpoints ranked rows there")
     local = tempfile.mkdtemp(prefix="nextbest-ckpt-")
     sc.setCheckpointDir(local)
     return local
