@@ -68,3 +68,22 @@ def test_partition_count_does_not_change_results(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
+
+
+def test_relabelling_categories_keeps_ranks(spark):
+    from nextbest.operators import encode
+    t = S.Tables(spark, SF_SMALL)
+    orders = S.orders_between(t, None, S.TRAIN_CUTOFF)
+    facts = S.basket(t, orders)
+    attrs = S.customer_attributes(t)
+    d = encode.category_dictionary(attrs, ["c_mktsegment"], ["customer"])
+    coded = encode.encode_categories(attrs, d, ["c_mktsegment"])
+
+    def ranked(a):
+        model, counts = bayes.fit_basket(orders, facts, a, S.ATTR_COLS, S.ID_ATTR)
+        sc = bayes.nb_score(model, bayes.scoring_facts(a, S.ATTR_COLS, S.ID_ATTR))
+        hist = counts.select("customer", "product")
+        return _rows(recommend.recommend_topk(recommend.all_candidates(sc, hist), 7),
+                     ["customer", "rank", "product", "score"])
+
+    assert ranked(attrs) == ranked(coded)
