@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nextbest.functions import scalars as X
-from nextbest.operators import clean, encode, features, recommend
+from nextbest.operators import clean, encode, features
 from nextbest.plans import sql as Q
 from nextbest.plans import standins as S
-from nextbest.plans.queries import K, register
+from nextbest.plans.queries import register
 from nextbest.sources import records
 
 RAW = Q.raw_snapshot_cte()
@@ -437,5 +437,3 @@ def q_parse_lines(spark, sf):
     return records.parse_lines(lines, ["o_orderkey", "o_custkey", "o_orderstatus",
                                        "o_orderpriority"], header_marker="o_orderstatus")
 
-
-__all__ = ["K", "recommend"]
