@@ -182,8 +182,8 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (doc_id, ``keep`` columns, item_id, n_common, n_shingles, containment)."""
     kept = [doc_id, *keep]
-    schema = docs.select(*kept).schema.add("__item", "long").add("n_common", "int").add(
-        "n_shingles", "int")
+    schema = docs.select(*kept).schema.add("__item", "long").add("n_common", "integer").add(
+        "n_shingles", "integer")
     found = []
     for block in item_blocks(items, item_id, item_text, shingle_words, threshold, sketch,
                              block_shingles):
