@@ -186,9 +186,9 @@ def apply_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
               text: str = "text", weights: tuple[int, ...] = WEIGHTS,
               max_copies: int = MAX_COPIES) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it."""
-    cols = docs.columns
-    keyed = with_mix_keys(docs, doc_id, source, text)
+    rows = docs.select(F.struct("*").alias("__row"), doc_id, source, text)
+    keyed = with_mix_keys(rows, doc_id, source, text)
     joined = join_sources(keyed, fit_mix(keyed, weights, max_copies))
     repeated = joined.withColumn("__n", copies_column()).where(F.col("__n") > 0)
     return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(
-        *cols)
+        "__row.*")

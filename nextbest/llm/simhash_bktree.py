@@ -227,7 +227,10 @@ def shard_units(fps: DataFrame, radius: int, max_shard: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle_words: int = 3, radius: int = 3, max_shard: int = 2000,
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``doc_id``, ``keep`` columns, ``fp``, ``component_id``."""
+    """One row per document: ``doc_id``, ``keep`` columns, ``fp``, ``component_id``, ``group``.
+
+    ``group`` is the smallest fingerprint of the component (never null).
+    """
     named = checkpointed(add_fingerprints(docs, text, shingle_words, (doc_id, *keep)))
     groups = checkpointed(named.groupBy("fp").agg(F.min(doc_id).alias("first_id")))
     units = shard_units(groups.select("fp"), radius, max_shard)
@@ -237,12 +240,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # fingerprint -> smallest id of its component; an unlinked one keeps its own
     linked = groups.join(roots, F.col("fp") == F.col("node"))
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("low"))
-    lows = linked.join(smallest, "root").select("fp", "low")
+    lows = linked.join(smallest, "root").select("fp", "root", "low")
     labels = groups.join(lows, "fp", "left").select(
-        "fp", F.coalesce("low", "first_id").alias("component_id"))
+        "fp", F.coalesce("low", "first_id").alias("component_id"),
+        F.coalesce("root", "fp").alias("group"))
     return named.join(labels, "fp")
 
 
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                     shingle_words: int = 3, radius: int = 3, max_shard: int = 2000) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row for each component: its smallest id's.
+
+    Rows without an id go last; of several rows with the smallest id the one
+    with the smallest row hash stays.  Only ids and hashes are grouped; the rows
+    themselves are shuffled once, to meet the ids that stay.
+    """
+    row = "__row"
+    hashed = docs.withColumn(row, F.xxhash64(*docs.columns))
+    found = near_duplicates(hashed, doc_id, text, shingle_words, radius, max_shard, keep=(row,))
+    first = found.groupBy("group").agg(F.min(F.struct(
+        F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
+        .alias("first")).select("first.id", F.col("first.row").alias("row"))
+    kept = hashed.join(first, hashed[doc_id].eqNullSafe(first["id"]) & (hashed[row] == first["row"]),
+                       "left_semi")
+    return kept.dropDuplicates([doc_id, row]).select(*docs.columns)
+
+
 def hex_fingerprint(fp):
     """16 lowercase hexadecimal digits of a signed long column."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

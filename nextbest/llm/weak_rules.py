@@ -201,8 +201,9 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
                  keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all of ``docs``) + statistics + verdict.
 
-    The statistics of all documents are written once (numbers, not texts) when
-    ``keep`` leaves the text out, so fitting and scoring read the texts once.
+    When ``keep`` leaves the text out, the statistics are written once (numbers,
+    not texts), so fitting and scoring read the texts once; else the texts are
+    read twice rather than written or shuffled.
     """
     cols = keep if keep is not None else docs.columns
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -210,6 +211,12 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     scored = add_statistics(docs, text).select(*cols, *numbers, *votes)
     if text not in cols:
         scored = checkpointed(scored)
+    else:
+        # a filter on the verdict would be pushed below the statistics and compute
+        # them once per mention; it can't pass a generator of its own columns
+        found = F.struct(*numbers, *[f"vote_{r.name}" for r in rules])
+        scored = scored.select(*cols, F.explode(F.array(found)).alias("__found")).select(
+            *cols, "__found.*")
     names = [f"vote_{r.name}" for r in rules]
     patterns = scored.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     model = fit_label_model(checkpointed(patterns.coalesce(1)), rules, iterations)
@@ -218,3 +225,9 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
               | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words")))
     return (scored.withColumn("posterior", posterior).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
+
+
+def keep_good(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that the verdict keeps, with all their columns, whatever their names."""
+    rows = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
+    return weak_quality(rows, "__text", **settings).where(F.col("kept")).select("__row.*")
