@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nextbest.llm import (
-    decontam_query, entropy_mix_query, model_queries, simhash_query, token_query, weak_rules_query)
+    chat_query, decontam_query, entropy_mix_query, model_queries, simhash_query, token_query, weak_rules_query)
 
 _MODULES = (model_queries, simhash_query, entropy_mix_query, token_query, weak_rules_query,
-            decontam_query)
+            decontam_query, chat_query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
