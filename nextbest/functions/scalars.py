@@ -20,9 +20,44 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Decimal numbers; Spark's own cast would also take ``12d``, ``7f`` and ``0x1p3``.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def numeric_coerce(c: str | Column, to: str = "double") -> Column:
-    """Text -> number; blanks and bad text -> null (``errors='coerce'``)."""
-    return F.trim(_c(c).cast("string")).try_cast(to)
+    """Text -> number; blanks, bad text and NaN -> null (``errors='coerce'``)."""
+    text = F.trim(_c(c).cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast(to))
+
+
+def flag(c: str | Column) -> Column:
+    """1 for a numeric 1 in any spelling (``1``, ``1.0``, ``' 1'``), 0 for other numbers."""
+    return (numeric_coerce(c) == 1).cast("int")
+
+
+def id_text(c: str | Column) -> Column:
+    """An id as text: whole numbers in plain form (``007`` -> ``7``), other text as it is."""
+    text = _c(c).cast("string")
+    return F.coalesce(F.trim(text).try_cast("bigint").cast("string"), text)
+
+
+#: What a missing attribute value becomes, so that missing matches missing.
+BLANK = ""
+
+
+def attr_text(c: str, dtype: str) -> Column:
+    """An attribute value as text; whole numbers alike in every numeric type, null -> blank."""
+    col = F.col(c)
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        text = col.cast("bigint").cast("string")
+    elif dtype in ("float", "double") or dtype.startswith("decimal"):
+        number = col.cast("double")
+        whole = (number == F.floor(number)) & (F.abs(number) < F.lit(9.0e15))
+        text = F.when(F.isnan(number), F.lit(None)).when(
+            whole, number.try_cast("bigint").cast("string")).otherwise(col.cast("string"))
+    else:
+        text = col.cast("string")
+    return F.coalesce(text, F.lit(BLANK))
 
 
 def parse_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:

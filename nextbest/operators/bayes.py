@@ -20,9 +20,13 @@ Scale notes
 * Training facts are reduced to ``(customer, product, n)`` before any join, so a
   customer with a third of all orders still yields at most one row per product.
 * Attributes with few values ("narrow") give a small likelihood table; it is
-  broadcast after a row-count check, else joined with salted keys.  Attributes
-  with one value per customer ("wide", e.g. the customer id itself) are joined
-  by an ordinary shuffle on ``(attr, value)``: each key holds one customer.
+  broadcast if its measured bytes allow, else joined with salted keys.
+  Attributes with one value per customer ("wide", e.g. the customer id itself)
+  are joined by an ordinary shuffle on ``(attr, value)``: each key holds one
+  customer.  Their likelihoods are derived from the counts when they are needed
+  and never stored.
+* Copies of a scoring fact become one fact with a multiplicity before any join,
+  on every path.
 """
 
 from __future__ import annotations
@@ -33,9 +37,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nextbest.functions import scalars as X
 from nextbest.operators.features import attr_long
-from nextbest.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, join_small,
-                                      salted_join)
+from nextbest.operators.joins import BROADCAST_BYTES, DEFAULT_SALTS, join_small, measured_bytes
 
 SCORE_DECIMALS = 9
 
@@ -45,31 +49,35 @@ class NaiveBayesModel:
     """Fitted tables.
 
     prior       ``(product, f, n, prior, log_prior)``
-    likelihood  ``(attr, value, product, c, ll)``
-    wide_attrs  attributes joined by shuffle instead of broadcast
+    narrow      ``(attr, value, product, c, ll)`` of the attributes with few values
+    wide        the same of the attributes with one value per customer, or None;
+                never stored, derived from the counts
     """
 
     prior: DataFrame
-    likelihood: DataFrame
+    narrow: DataFrame
+    wide: DataFrame | None = None
     wide_attrs: tuple[str, ...] = ()
-    n_products: int | None = None      # checked row counts, set by ``checked``
-    n_narrow: int | None = None
+    prior_bytes: int | None = None      # measured by ``checked``
+    narrow_bytes: int | None = None
+    held: tuple[DataFrame, ...] = ()
 
-    def persist(self) -> "NaiveBayesModel":
-        self.prior.persist(StorageLevel.MEMORY_AND_DISK)
-        self.likelihood.persist(StorageLevel.MEMORY_AND_DISK)
-        return self
-
-    def narrow_likelihood(self) -> DataFrame:
-        lik = self.likelihood.select("attr", "value", "product", "ll")
-        return lik.where(~F.col("attr").isin(list(self.wide_attrs))) if self.wide_attrs else lik
+    @property
+    def likelihood(self) -> DataFrame:
+        return self.narrow if self.wide is None else self.narrow.unionByName(self.wide)
 
     def checked(self) -> "NaiveBayesModel":
-        """Persist and count the broadcast candidates once (two small jobs), so
-        scoring decides its join strategy without further jobs."""
-        self.persist()
-        return replace(self, n_products=self.prior.count(),
-                       n_narrow=self.narrow_likelihood().count())
+        """Persist and measure the small tables once, so scoring decides its joins
+        without further jobs."""
+        prior = self.prior.persist(StorageLevel.MEMORY_AND_DISK)
+        narrow = self.narrow.persist(StorageLevel.MEMORY_AND_DISK)
+        return replace(self, prior=prior, narrow=narrow, prior_bytes=measured_bytes(prior),
+                       narrow_bytes=measured_bytes(narrow), held=(*self.held, prior, narrow))
+
+    def release(self) -> None:
+        """Unpersist what the fit holds; results not yet computed are computed anew."""
+        for df in self.held:
+            df.unpersist()
 
 
 # --------------------------------------------------------------------------- counts
@@ -129,16 +137,16 @@ def id_frequency(counts: DataFrame, id_attr: str, customer: str = "customer",
     With one id per customer, ``c(id=u, p)`` is just ``n(u, p)``: no join.
     """
     return counts.select(F.lit(id_attr).alias("attr"),
-                         F.col(customer).cast("bigint").cast("string").alias("value"),
+                         X.id_text(customer).alias("value"),
                          F.col(product).alias("product"),
                          F.col("n").cast("bigint").alias("c"))
 
 
-def nb_likelihood(attr_freq: DataFrame, freq: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def nb_likelihood(attr_freq: DataFrame, freq: DataFrame, max_bytes: int = BROADCAST_BYTES,
+                  known_bytes: int | None = None) -> DataFrame:
     """``(attr, value, product, c, ll)`` with ``ll = ln((c + 1) / (f + 1))``."""
     joined = join_small(attr_freq, freq.select("product", "f"), ["product"],
-                        max_rows=max_broadcast_rows)
+                        max_bytes=max_bytes, known_bytes=known_bytes)
     return joined.select(
         "attr", "value", "product", "c",
         F.ln((F.col("c") + F.lit(1.0)) / (F.col("f") + F.lit(1.0))).alias("ll"))
@@ -149,8 +157,7 @@ def nb_likelihood(attr_freq: DataFrame, freq: DataFrame,
 def fit_basket(instances: DataFrame, basket: DataFrame, attributes: DataFrame,
                attr_cols: list[str], id_attr: str | None = None,
                customer: str = "customer", product: str = "product",
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-               ) -> tuple[NaiveBayesModel, DataFrame]:
+               max_bytes: int = BROADCAST_BYTES) -> tuple[NaiveBayesModel, DataFrame]:
     """Fit from long purchase facts and per-customer attributes.
 
     ``instances``  one row per training instance (only counted)
@@ -164,43 +171,47 @@ def fit_basket(instances: DataFrame, basket: DataFrame, attributes: DataFrame,
     counts = customer_product_counts(basket, customer, product)
     counts = counts.withColumnsRenamed({customer: "customer", product: "product"})
     counts.persist(StorageLevel.MEMORY_AND_DISK)
-    freq = product_frequency(counts)
-    prior = product_prior(freq, total_instances(instances).scalar())
-    parts = [attr_frequency(counts, attributes.withColumnRenamed(customer, "customer"),
-                            attr_cols)] if attr_cols else []
-    if id_attr:
-        parts.append(id_frequency(counts, id_attr))
-    freq_all = parts[0]
-    for p in parts[1:]:
-        freq_all = freq_all.unionByName(p)
-    lik = nb_likelihood(freq_all, freq, max_broadcast_rows)
-    model = NaiveBayesModel(prior, lik, (id_attr,) if id_attr else ()).checked()
-    return model, counts
+    prior = product_prior(product_frequency(counts), total_instances(instances).scalar())
+    prior.persist(StorageLevel.MEMORY_AND_DISK)
+    freq, size = prior.select("product", "f"), measured_bytes(prior)
+    rows = attr_frequency(counts, attributes.withColumnRenamed(customer, "customer"), attr_cols)
+    narrow = nb_likelihood(rows, freq, max_bytes, size)
+    wide = nb_likelihood(id_frequency(counts, id_attr), freq, max_bytes, size) if id_attr else None
+    model = NaiveBayesModel(prior, narrow, wide, (id_attr,) if id_attr else (), held=(counts,))
+    return model.checked(), counts
 
 
 def fit_snapshot(snapshot: DataFrame, attr_cols: list[str], product_cols: list[str],
                  wide_attrs: tuple[str, ...] = (),
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> NaiveBayesModel:
-    """Fit from wide snapshot rows: attribute columns plus 0/1 product flags.
-
-    Each row is an instance whose own attribute values count.  One pass:
-    attributes are unpivoted (one row per attribute) carrying all flags, then
-    grouped by ``(attr, value)`` with one ``sum`` per product; the catalogue
-    comes from the schema, so nothing is collected to the driver.
+                 max_bytes: int = BROADCAST_BYTES) -> NaiveBayesModel:
+    """Fit from wide snapshot rows: attribute columns plus product flags.
+
+    Each row is an instance whose own attribute values count.  Attributes are
+    unpivoted (one row per attribute) carrying all flags, then grouped by
+    ``(attr, value)`` with one ``sum`` per product.  A constant attribute rides
+    along whose only group is the whole table: it holds the number of instances
+    and the product frequencies, so one read of the snapshot gives everything.
+    The catalogue comes from the schema; nothing is collected to the driver.
     """
-    flags = [F.coalesce(F.col(p).cast("int"), F.lit(0)).alias(p) for p in product_cols]
-    rows = snapshot.select(*attr_cols, *flags)
-    freq_wide = rows.agg(*[F.sum(p).cast("bigint").alias(p) for p in product_cols])
-    freq = (freq_wide.unpivot([], product_cols, "product", "f")
-            .where(F.col("f") > 0))
-    prior = product_prior(freq, total_instances(snapshot).scalar())
-    long = attr_long(rows, product_cols, attr_cols)
-    by_value = long.groupBy("attr", "value").agg(
-        *[F.sum(p).cast("bigint").alias(p) for p in product_cols])
-    attr_freq = (by_value.unpivot(["attr", "value"], product_cols, "product", "c")
+    flags = [F.coalesce(X.flag(p), F.lit(0)).alias(p) for p in product_cols]
+    rows = snapshot.select(*attr_cols, *flags).withColumn(_ALL, F.lit(1))
+    by_value = attr_long(rows, product_cols, [*attr_cols, _ALL]).groupBy("attr", "value").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(p).cast("bigint").alias(p) for p in product_cols])
+    by_value.persist(StorageLevel.MEMORY_AND_DISK)
+    total = by_value.where(F.col("attr") == _ALL)
+    freq = total.unpivot(["__n"], product_cols, "product", "f").where(F.col("f") > 0)
+    prior = product_prior(freq, F.col("__n")).persist(StorageLevel.MEMORY_AND_DISK)
+    attr_freq = (by_value.where(F.col("attr") != _ALL).drop("__n")
+                 .unpivot(["attr", "value"], product_cols, "product", "c")
                  .where(F.col("c") > 0))
-    lik = nb_likelihood(attr_freq, freq, max_broadcast_rows)
-    return NaiveBayesModel(prior, lik, tuple(wide_attrs)).checked()
+    lik = nb_likelihood(attr_freq, prior.select("product", "f"), max_bytes)
+    is_wide = F.col("attr").isin(list(wide_attrs))
+    return NaiveBayesModel(prior, lik.where(~is_wide) if wide_attrs else lik,
+                           lik.where(is_wide) if wide_attrs else None, tuple(wide_attrs),
+                           held=(by_value,)).checked()
+
+
+_ALL = "__all"
 
 
 # --------------------------------------------------------------------------- score
@@ -211,52 +222,37 @@ def scoring_facts(scoring: DataFrame, attr_cols: list[str], id_attr: str | None
     base = scoring.select(F.col(customer).alias("customer"), *attr_cols)
     cols = list(attr_cols)
     if id_attr and id_attr not in cols:
-        base = base.withColumn(id_attr, F.col("customer"))
+        base = base.withColumn(id_attr, X.id_text("customer"))
         cols.append(id_attr)
     return attr_long(base, ["customer"], cols)
 
 
-def _collapse(facts: DataFrame) -> DataFrame:
-    """Copies of a scoring fact -> one row with multiplicity ``__m`` (partial aggregate).
-
-    A customer on many scoring rows then adds one row per attribute to a
-    shuffle, and its likelihoods are multiplied instead of repeated.
-    """
-    return facts.groupBy("customer", "attr", "value").agg(F.count(F.lit(1)).alias("__m"))
-
-
-def nb_match(model: NaiveBayesModel, facts: DataFrame,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+def nb_match(model: NaiveBayesModel, facts: DataFrame, max_bytes: int = BROADCAST_BYTES,
              salts: int = DEFAULT_SALTS) -> DataFrame:
     """``(customer, product, ll)``: every likelihood matched by a customer fact.
 
-    Narrow attributes join a broadcast likelihood map-side (copies cost
-    nothing there); shuffled joins (wide attributes, or narrow ones above the
-    broadcast limit) first collapse copies of a fact.
+    Copies of a fact are one row with a multiplicity (a partial aggregate), so a
+    customer on many scoring rows adds one row per attribute to any shuffle.
+    The facts are then dealt out by customer, which the sums, the history and
+    the ranking that follow can keep.
     """
     wide = list(model.wide_attrs)
-    lik = model.likelihood.select("attr", "value", "product", "ll")
-    narrow_facts = facts.where(~F.col("attr").isin(wide)) if wide else facts
-    narrow_lik = model.narrow_likelihood()
-    n_narrow = model.n_narrow if model.n_narrow is not None else \
-        narrow_lik.limit(max_broadcast_rows + 1).count()
-    if n_narrow <= max_broadcast_rows:
-        matched = (narrow_facts.join(F.broadcast(narrow_lik), ["attr", "value"])
-                   .select("customer", "product", "ll"))
-    else:
-        matched = (salted_join(_collapse(narrow_facts), narrow_lik, ["attr", "value"],
-                               salts=salts, salt_by=["customer", "attr"])
-                   .select("customer", "product", (F.col("ll") * F.col("__m")).alias("ll")))
-    if wide:
-        wide_matched = (_collapse(facts.where(F.col("attr").isin(wide)))
-                        .join(lik.where(F.col("attr").isin(wide)), ["attr", "value"]))
-        matched = matched.unionByName(wide_matched.select(
-            "customer", "product", (F.col("ll") * F.col("__m")).alias("ll")))
+    facts = facts.groupBy("customer", "attr", "value").agg(F.count(F.lit(1)).alias("__m"))
+    is_wide = F.col("attr").isin(wide) if wide else F.lit(False)
+    weighted = (F.col("ll") * F.col("__m")).alias("ll")
+    matched = join_small(facts.where(~is_wide).repartition("customer"),
+                         model.narrow.select("attr", "value", "product", "ll"), ["attr", "value"],
+                         max_bytes=max_bytes, salts=salts, salt_by=["customer", "attr"],
+                         known_bytes=model.narrow_bytes).select("customer", "product", weighted)
+    if model.wide is not None:
+        own = facts.where(is_wide).join(model.wide.select("attr", "value", "product", "ll"),
+                                        ["attr", "value"])
+        matched = matched.unionByName(
+            own.select("customer", "product", weighted).repartition("customer"))
     return matched
 
 
-def nb_score(model: NaiveBayesModel, facts: DataFrame,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+def nb_score(model: NaiveBayesModel, facts: DataFrame, max_bytes: int = BROADCAST_BYTES,
              salts: int = DEFAULT_SALTS) -> DataFrame:
     """``(customer, product, score)``: summed log-likelihoods plus log prior.
 
@@ -264,11 +260,11 @@ def nb_score(model: NaiveBayesModel, facts: DataFrame,
     prior once.  Scores are rounded to 9 decimals so ranks do not depend on
     the order of the floating-point sum.
     """
-    summed = (nb_match(model, facts, max_broadcast_rows, salts)
+    summed = (nb_match(model, facts, max_bytes, salts)
               .groupBy("customer", "product").agg(F.sum("ll").alias("ll_sum")))
     prior = model.prior.select("product", "log_prior")
-    scored = join_small(summed, prior, ["product"], max_rows=max_broadcast_rows,
-                        salts=salts, salt_by=["customer"], known_rows=model.n_products)
+    scored = join_small(summed, prior, ["product"], max_bytes=max_bytes,
+                        salts=salts, salt_by=["customer"], known_bytes=model.prior_bytes)
     return scored.select(
         "customer", "product",
         F.round(F.col("ll_sum") + F.col("log_prior"), SCORE_DECIMALS).alias("score"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nextbest.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, salted_join
+from nextbest.operators.joins import BROADCAST_BYTES, join_small, row_bytes
 from nextbest.operators.ranking import positions
 
 
@@ -31,23 +31,27 @@ def category_dictionary(df: DataFrame, cols: list[str], order_cols: list[str]) -
 
 def encode_categories(df: DataFrame, dictionary: DataFrame, cols: list[str],
                       unseen_code: int | None = None,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace each of ``cols`` by its code; values missing from the dictionary
     get ``unseen_code`` (default null).
 
-    The dictionary is broadcast when its checked size allows; otherwise each
-    column is joined with salted keys, since one value may cover most rows.
+    The bytes of every column's part of the dictionary are measured in one job.
+    Parts are broadcast while their sum stays within ``max_bytes``, smallest
+    first; a larger one is joined by shuffle with salted keys, since one value
+    may cover most rows.
     """
-    small = fits_broadcast(dictionary, max_broadcast_rows)
+    sizes = dict(map(tuple, dictionary.where(F.col("column").isin(list(cols))).groupBy("column")
+                     .agg(F.sum(row_bytes(dictionary, ["value", "code"]))).collect()))
+    known, used = {}, 0
+    for c in sorted(cols, key=lambda c: sizes.get(c, 0)):
+        used += sizes.get(c, 0)
+        known[c] = used
     out = df
     for c in cols:
         d = dictionary.where(F.col("column") == c).select(
             F.col("value").alias("__v"), F.col("code").alias("__code"))
         keyed = out.withColumn("__v", F.col(c).cast("string"))
-        if small:
-            joined = keyed.join(F.broadcast(d), "__v", "left")
-        else:
-            joined = salted_join(keyed, d, ["__v"], "left")
+        joined = join_small(keyed, d, ["__v"], "left", max_bytes, known_bytes=known[c])
         code = F.col("__code") if unseen_code is None else \
             F.when(F.col(c).isNotNull(), F.coalesce(F.col("__code"), F.lit(unseen_code)))
         out = joined.withColumn(c, code.cast("int")).drop("__v", "__code")

@@ -41,14 +41,19 @@ def precision_at_rank(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_
 
 
 def average_precision(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_K,
-                      population: DataFrame | None = None) -> DataFrame:
+                      population: DataFrame | None = None, count_repeats: bool = False
+                      ) -> DataFrame:
     """``(customer, n_actual, ap)`` for every customer of ``population``.
 
+    ``n_actual`` counts distinct items; with ``count_repeats`` it is the length
+    of the actual list, repeats included (a hit still counts an item once).
+
     ``population`` defaults to the customers present in ``actual``; give the
     id column of actual records to count customers with an empty actual list.
     """
     pop = (population if population is not None else actual).select("customer").distinct()
-    n_act = actual.select("customer", "item").distinct().groupBy("customer").agg(
+    listed = actual.select("customer", "item")
+    n_act = (listed if count_repeats else listed.distinct()).groupBy("customer").agg(
         F.count(F.lit(1)).alias("n_actual"))
     summed = (precision_at_rank(predicted, actual, k).groupBy("customer")
               .agg(F.sum("precision").alias("psum")))
@@ -62,9 +67,9 @@ def average_precision(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_
 
 
 def map_at_k(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_K,
-             population: DataFrame | None = None) -> DataFrame:
+             population: DataFrame | None = None, count_repeats: bool = False) -> DataFrame:
     """One row ``(map_at_k, n_customers)``."""
-    ap = average_precision(predicted, actual, k, population)
+    ap = average_precision(predicted, actual, k, population, count_repeats)
     return ap.agg(F.avg("ap").alias("map_at_k"),
                   F.count(F.lit(1)).cast("bigint").alias("n_customers"))
 
@@ -83,7 +88,7 @@ def map_at_k_records(actual: DataFrame, predicted: DataFrame, k: int = DEFAULT_K
     act = records_to_long(actual, id_col, items)
     pred = records_to_long(predicted, id_col, items)
     pop = actual.select(F.col(id_col).alias("customer"))
-    return map_at_k(pred, act.select("customer", "item"), k, pop)
+    return map_at_k(pred, act.select("customer", "item"), k, pop, count_repeats=True)
 
 
 def average_precision_records(actual: DataFrame, predicted: DataFrame, k: int = DEFAULT_K,
@@ -91,4 +96,4 @@ def average_precision_records(actual: DataFrame, predicted: DataFrame, k: int =
     act = records_to_long(actual, id_col, items)
     pred = records_to_long(predicted, id_col, items)
     pop = actual.select(F.col(id_col).alias("customer"))
-    return average_precision(pred, act.select("customer", "item"), k, pop)
+    return average_precision(pred, act.select("customer", "item"), k, pop, count_repeats=True)

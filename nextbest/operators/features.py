@@ -5,29 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nextbest.functions import scalars as X
+
 
 def attr_long(df: DataFrame, keys: list[str], attr_cols: list[str],
               attr: str = "attr", value: str = "value") -> DataFrame:
     """One row per (key, attribute): ``(keys..., attr, value)`` with text values.
 
-    Numbers become text through bigint when they are integral, so ``55`` and
-    ``55.0`` give the same value.  Built on ``unpivot`` (an Expand node), so it
-    stays inside one whole-stage-codegen span with no shuffle.
+    Whole numbers give the same text in every numeric type (``55`` and ``55.0``
+    are one value) and a missing value is the blank text, so that missing matches
+    missing.  Built on ``unpivot`` (an Expand node), so it stays inside one
+    whole-stage-codegen span with no shuffle.
     """
-    def as_text(c: str):
-        dtype = dict(df.dtypes)[c]
-        if dtype in ("tinyint", "smallint", "int", "bigint"):
-            return F.col(c).cast("bigint").cast("string").alias(c)
-        return F.col(c).cast("string").alias(c)
-
-    text = df.select(*keys, *[as_text(c) for c in attr_cols])
+    types = dict(df.dtypes)
+    text = df.select(*keys, *[X.attr_text(c, types[c]).alias(c) for c in attr_cols])
     return text.unpivot(keys, attr_cols, attr, value)
 
 
 def purchase_long(df: DataFrame, keys: list[str], product_cols: list[str],
                   product: str = "product", owned: str = "owned") -> DataFrame:
-    """Product flag columns -> one ``(keys..., product)`` row per flag equal to 1."""
-    flags = df.select(*keys, *[F.col(c).cast("int").alias(c) for c in product_cols])
+    """Product flag columns -> one ``(keys..., product)`` row per flag that is numeric 1."""
+    flags = df.select(*keys, *[X.flag(c).alias(c) for c in product_cols])
     return (flags.unpivot(keys, product_cols, product, owned)
             .where(F.col(owned) == 1)
             .drop(owned))

@@ -1,10 +1,10 @@
-"""Join helpers: size-checked broadcast with a salted shuffle join beyond it.
+"""Join helpers: broadcast of a side whose bytes were measured, else a salted shuffle join.
 
-A broadcast is only safe when the small side has a proven size.  ``count()``
-on the (already aggregated, persisted) small side is that proof; when it is too
-large we fall back to a shuffle join whose keys are salted, so that one hot key
-(say an attribute value shared by a third of all customers) is spread over
-``salts`` tasks instead of landing in one.
+A broadcast is only safe when the small side has a proven size.  One aggregate
+over it measures its bytes; above the bound the join shuffles with salted keys,
+so that one hot key (say an attribute value shared by a third of all customers)
+is spread over ``salts`` tasks instead of landing in one.  Both ways compute the
+same rows from the same inputs.
 """
 
 from __future__ import annotations
@@ -12,21 +12,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a model table that may be broadcast.  A likelihood row is roughly
-# 60 bytes, so this keeps a broadcast well under 100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+#: Bytes of a table that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 DEFAULT_SALTS = 32
+_FIELD_BYTES = 16
 
 _SALT = "__salt"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame, cols: list[str] | None = None) -> Column:
+    """Estimated bytes of a row: fixed per field, plus the length of text and nested values."""
+    types = dict(df.dtypes)
+    total = F.lit(0).cast("bigint")
+    for c in cols or df.columns:
+        total = total + F.lit(_FIELD_BYTES)
+        if types[c] in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif types[c].startswith(("array", "map", "struct")):
+            total = total + F.octet_length(F.to_json(F.struct(c)))
+    return total
 
-    Runs one job; call it on a persisted, aggregated table (a fitted model),
-    never on raw input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def measured_bytes(df: DataFrame) -> int:
+    """Runs one job; call it on an aggregated table (a fitted model), never on raw input."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -44,16 +53,15 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
+               max_bytes: int = BROADCAST_BYTES, salts: int = DEFAULT_SALTS,
                salt_by: list[str | Column] | None = None,
-               known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``small`` if its checked size allows, else a salted shuffle join.
+               known_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``small`` if its measured bytes allow, else a salted shuffle join.
 
-    ``known_rows`` is a row count measured earlier on this same (persisted)
-    table; without it the table is counted here.
+    ``known_bytes`` was measured earlier on this same table; without it the
+    table is measured here.
     """
-    small_enough = known_rows <= max_rows if known_rows is not None else \
-        fits_broadcast(small, max_rows)
-    if small_enough:
+    size = known_bytes if known_bytes is not None else measured_bytes(small)
+    if size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salts, salt_by)

@@ -7,10 +7,11 @@ group spans many partitions.  Each task numbers its rows; a small table of
 per-partition block sizes (at most partitions x groups-per-partition rows)
 gives every block its offset.
 
-On top of that: exact medians (interpolated, as pandas ``median``) and lower
-medians (``percentile_disc(0.5)``), per group or global.  Medians first
-collapse copies of a value into one weighted row, so even a value held by a
-third of all rows is one row by the time it is range-partitioned.
+Exact medians (interpolated, as pandas ``median``) and lower medians
+(``percentile_disc(0.5)``), per group or global, never rank whole groups: a
+mergeable quantile sketch brackets the middle of every group, a second pass
+counts what lies below and collapses the copies inside the bracket, and only
+those few values are put in order.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 from nextbest.operators.joins import join_small
 from nextbest.session import ensure_checkpoint_dir
 
-_G = "__grp"
-
 
 def _sort_key(c: str | Column, nulls_last: bool) -> Column:
     col = F.col(c) if isinstance(c, str) else c
@@ -54,55 +53,94 @@ def positions(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     ensure_checkpoint_dir(df.sparkSession)
     s = s.checkpoint(eager=True)
     w = F.col(weight) if weight else F.lit(1)
-    blocks = s.groupBy("__pid", *groups).agg(F.min("__i").alias("__i0"),
+    s = s.withColumn("__key", group_key(groups))  # never null, so null groups join too
+    blocks = s.groupBy("__pid", "__key").agg(F.min("__i").alias("__i0"),
                                              F.sum(w).alias("__n"))
-    before = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(
+    before = Window.partitionBy("__key").orderBy("__pid").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     if weight:
         # running weight inside one (partition, group) block: bounded by a partition
-        run = Window.partitionBy("__pid", *groups).orderBy("__i").rowsBetween(
+        run = Window.partitionBy("__pid", "__key").orderBy("__i").rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         s = s.withColumn("__local", F.sum(w).over(run))
     else:
         s = s.withColumn("__local", F.col("__i") + 1)
-    out = join_small(s, blocks.select("__pid", *groups, "__i0", "__off"), ["__pid", *groups],
+    out = join_small(s, blocks.select("__pid", "__key", "__i0", "__off"), ["__pid", "__key"],
                      salt_by=["__i"])
     local = F.col("__local") if weight else F.col("__local") - F.col("__i0")
     return (out.withColumn(pos, (local + F.col("__off")).cast("bigint"))
-            .drop("__pid", "__i", "__i0", "__off", "__local"))
+            .drop("__pid", "__key", "__i", "__i0", "__off", "__local"))
+
+
+def group_key(groups: list[str]) -> Column:
+    """One text that is different for different groups and never null."""
+    return F.to_json(F.struct(*groups)) if groups else F.lit("")
 
 
-def _with_group(df: DataFrame, group_cols: list[str] | None) -> tuple[DataFrame, list[str]]:
-    if group_cols:
-        return df, list(group_cols)
-    return df.withColumn(_G, F.lit(0)), [_G]
+# The sketch's ranks are off by at most n / SKETCH_ACCURACY; the bracket allows
+# for several times that on either side.
+SKETCH_ACCURACY = 10_000
+_BRACKET = (0.5 - 5 / SKETCH_ACCURACY, 0.5 + 5 / SKETCH_ACCURACY)
 
 
-def _weighted(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
-    """``(groups..., value, __w)``: copies collapsed by a partial aggregate."""
-    return df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__w"))
+def as_number(c: str, dtype: str) -> Column:
+    """A double in the order of a numeric, date or timestamp column; text is refused."""
+    if dtype == "date":
+        return F.unix_date(c).cast("double")
+    if dtype.startswith("timestamp"):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
+            dtype.startswith("decimal"):
+        return F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    raise TypeError(f"{c} is {dtype}; a median needs numbers or dates (see numeric_coerce)")
 
 
-def _covers(k) -> "Column":
+def middle(df: DataFrame, groups: list[str], key: str,
+           extra: list[Column] | None = None) -> DataFrame:
+    """``(groups..., n, low, high, extra...)``: the two middle values of ``key`` per group.
+
+    ``key`` is a double; nulls are ignored (``n`` counts the others).  ``low``
+    and ``high`` stand at positions floor((n + 1) / 2) and ceil((n + 1) / 2).
+    ``extra`` aggregates are computed in the first pass.  Reads ``df`` twice.
+    """
+    names = list(groups)
+    data = df.withColumn("__k", group_key(names))
+    stats = data.groupBy("__k", *names).agg(
+        F.count(key).alias("n"),
+        F.percentile_approx(key, list(_BRACKET), SKETCH_ACCURACY).alias("__b"), *(extra or []))
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    bracket = stats.where(F.col("n") > 0).select(
+        "__k", "n", F.col("__b")[0].alias("__from"), F.col("__b")[1].alias("__to"))
+    inside = join_small(data.where(F.col(key).isNotNull()).select("__k", key), bracket, ["__k"])
+    part = F.when(F.col(key) < F.col("__from"), 0).when(F.col(key) <= F.col("__to"), 1)
+    held = inside.select("__k", "n", part.alias("__part"),
+                         F.when(part == 1, F.col(key)).alias("__v")).where("__part is not null")
+    counted = held.groupBy("__k", "n", "__part", "__v").agg(F.count(F.lit(1)).alias("__w"))
+    upto = F.sum("__w").over(Window.partitionBy("__k").orderBy("__part", "__v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("pos", upto)
+    lo, hi = F.floor((F.col("n") + 1) / 2), F.ceil((F.col("n") + 1) / 2)
+    picks = ranked.groupBy("__k").agg(F.max(F.when(_covers(lo), F.col("__v"))).alias("low"),
+                                      F.max(F.when(_covers(hi), F.col("__v"))).alias("high"))
+    return stats.drop("__b").join(picks, "__k", "left").drop("__k")
+
+
+def _covers(k: Column) -> Column:
     return (F.col("pos") - F.col("__w") < k) & (k <= F.col("pos"))
 
 
 def exact_median(df: DataFrame, value: str, group_cols: list[str] | None = None,
                  out: str = "median") -> DataFrame:
-    """``(groups..., median)``: exact median of non-null values, interpolated."""
-    data, groups = _with_group(df.where(F.col(value).isNotNull()), group_cols)
-    counted = _weighted(data.select(*groups, value), value, groups)
-    n = counted.groupBy(*groups).agg(F.sum("__w").alias("__cnt"))
-    ranked = join_small(positions(counted, [value], groups, weight="__w"), n, groups)
-    lo = F.floor((F.col("__cnt") + 1) / 2)
-    hi = F.ceil((F.col("__cnt") + 1) / 2)
-    picks = ranked.select(*groups, value, F.when(_covers(lo), 1).otherwise(0).alias("__a"),
-                          F.when(_covers(hi), 1).otherwise(0).alias("__b"))
-    picks = picks.where((F.col("__a") + F.col("__b")) > 0)
-    total = F.sum(F.col(value).cast("double") * (F.col("__a") + F.col("__b")))
-    res = picks.groupBy(*groups).agg((total / 2).alias(out))
-    return res.drop(_G) if not group_cols else res
+    """``(groups..., median)``: exact median of non-null values, interpolated.
+
+    Groups without a value are left out; a null group is a group.
+    """
+    groups = list(group_cols or [])
+    data = df.select(*groups, as_number(value, dict(df.dtypes)[value]).alias("__key"))
+    found = middle(data, groups, "__key").where(F.col("n") > 0)
+    return found.select(*groups, ((F.col("low") + F.col("high")) / 2).alias(out))
 
 
 def lower_median(df: DataFrame, value: str, group_cols: list[str] | None = None,
@@ -114,12 +152,19 @@ def lower_median(df: DataFrame, value: str, group_cols: list[str] | None = None,
     null (the positional rule of a pandas sort followed by ``median`` of the
     index).
     """
-    base = df if nulls_counted else df.where(F.col(value).isNotNull())
-    data, groups = _with_group(base, group_cols)
-    counted = _weighted(data.select(*groups, value), value, groups)
-    n = counted.groupBy(*groups).agg(F.sum("__w").alias("__cnt"))
-    ranked = join_small(positions(counted, [value], groups, nulls_last=True, weight="__w"),
-                        n, groups)
-    picks = ranked.where(_covers(F.floor((F.col("__cnt") - 1) / 2) + 1))
-    res = picks.select(*groups, F.col(value).alias(out))
-    return res.drop(_G) if not group_cols else res
+    groups, dtype = list(group_cols or []), dict(df.dtypes)[value]
+    number = as_number(value, dtype)
+    if nulls_counted:
+        number = F.coalesce(number, F.lit(float("inf")))
+    found = middle(df.select(*groups, number.alias("__key")), groups, "__key").where(F.col("n") > 0)
+    low = F.when(F.col("low") < float("inf"), F.col("low"))
+    return found.select(*groups, from_number(low, dtype).alias(out))
+
+
+def from_number(c: Column, dtype: str) -> Column:
+    """Back from ``as_number``."""
+    if dtype == "date":
+        return F.date_from_unix_date(c.cast("int"))
+    if dtype.startswith("timestamp"):
+        return F.timestamp_micros(c.cast("bigint")).cast(dtype)
+    return c.cast(dtype)

@@ -14,6 +14,22 @@ def exclude_owned(scores: DataFrame, history: DataFrame) -> DataFrame:
                        "left_anti")
 
 
+def _marked(scores: DataFrame, history: DataFrame) -> DataFrame:
+    """Scores with ``owned``, ``known`` (has a history) and ``any_novel``.
+
+    One pass on the customer key: the history is a list per customer (at most
+    the catalogue), and the window over a customer's scores reuses the same
+    partitioning.
+    """
+    owned = history.groupBy("customer").agg(F.collect_set("product").alias("__owned"))
+    marked = scores.join(owned, "customer", "left").withColumns({
+        "known": F.col("__owned").isNotNull(),
+        "owned": F.coalesce(F.array_contains("__owned", F.col("product")), F.lit(False)),
+    }).drop("__owned")
+    novel = F.max((~F.col("owned")).cast("int")).over(Window.partitionBy("customer"))
+    return marked.withColumn("any_novel", novel == 1)
+
+
 def new_customers(scores: DataFrame, history: DataFrame) -> DataFrame:
     """Score rows of customers that are not "old".
 
@@ -21,45 +37,37 @@ def new_customers(scores: DataFrame, history: DataFrame) -> DataFrame:
     do not own.  Everyone else (cold-start customers, and customers who own
     every scored product) is new and keeps the whole scored list.
     """
-    owners = history.select("customer").distinct()
-    old = (exclude_owned(scores, history).select("customer").distinct()
-           .join(owners, "customer", "left_semi"))
-    return scores.join(old, "customer", "left_anti")
+    marked = _marked(scores, history)
+    return marked.where(~(F.col("known") & F.col("any_novel"))).select(*scores.columns)
 
 
 def all_candidates(scores: DataFrame, history: DataFrame,
                    exhausted: str = "recommend_all") -> DataFrame:
     """Novel products, or every scored product for customers with none novel.
 
-    Same rows as ``exclude_owned`` union ``new_customers``, in one pass: a left
-    join marks owned pairs and a window over the customer (at most one row per
-    catalogue product) tells whether anything novel remains.
+    Same rows as ``exclude_owned`` union ``new_customers``, in one pass.
     ``exhausted='drop'`` keeps only novel products.
     """
     if exhausted not in ("recommend_all", "drop"):
         raise ValueError(f"exhausted must be 'recommend_all' or 'drop', not {exhausted!r}")
-    owned = history.select("customer", "product").withColumn("owned", F.lit(True))
-    marked = (scores.join(owned, ["customer", "product"], "left")
-              .withColumn("owned", F.coalesce("owned", F.lit(False))))
     if exhausted == "drop":
-        return marked.where(~F.col("owned")).drop("owned")
-    any_novel = F.max((~F.col("owned")).cast("int")).over(Window.partitionBy("customer"))
-    return (marked.withColumn("any_novel", any_novel)
-            .where(~F.col("owned") | (F.col("any_novel") == 0))
-            .drop("owned", "any_novel"))
+        return exclude_owned(scores, history)
+    marked = _marked(scores, history)
+    return marked.where(~F.col("owned") | ~F.col("any_novel")).select(*scores.columns)
 
 
-def recommend_topk(candidates: DataFrame, k: int = DEFAULT_K) -> DataFrame:
-    """``(customer, rank, product, score)``, the ``k`` best per customer.
+def recommend_topk(candidates: DataFrame, k: int | None = DEFAULT_K) -> DataFrame:
+    """``(customer, rank, product, score)``, the ``k`` best per customer (None: all, ranked).
 
     Order: score descending, then product ascending, so ties are deterministic.
-    The filter on ``row_number`` lets Catalyst insert a ``WindowGroupLimit``
-    before the shuffle, so at most ``k`` rows per customer per task move.
+    After ``all_candidates`` the rows are already partitioned by customer, so
+    ranking needs no shuffle of its own.
     """
     w = Window.partitionBy("customer").orderBy(F.col("score").desc(), F.col("product").asc())
-    return (candidates.withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("rank") <= k)
-            .select("customer", "rank", "product", "score"))
+    ranked = candidates.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    if k is not None:
+        ranked = ranked.where(F.col("rank") <= k)
+    return ranked.select("customer", "rank", "product", "score")
 
 
 def collect_predictions(ranked: DataFrame, items: str = "items") -> DataFrame:

@@ -46,14 +46,18 @@ def q_total_instances(spark, sf):
 
 @register("product_frequency", Q.model_ctes() + "select product, f from freq")
 def q_product_frequency(spark, sf):
-    fitted = P.fit_standin(S.Tables(spark, sf))
-    return fitted.model.prior.select("product", "f")
+    t = S.Tables(spark, sf)
+    facts = S.basket(t, S.orders_between(t, None, S.TRAIN_CUTOFF))
+    return bayes.product_frequency(facts, weight=None)
 
 
 @register("product_prior", Q.model_ctes() + """
 select product, f, n, round(prior, 9) as prior, round(log_prior, 9) as log_prior from prior""")
 def q_product_prior(spark, sf):
-    prior = P.fit_standin(S.Tables(spark, sf)).model.prior
+    t = S.Tables(spark, sf)
+    orders = S.orders_between(t, None, S.TRAIN_CUTOFF)
+    freq = bayes.product_frequency(S.basket(t, orders), weight=None)
+    prior = bayes.product_prior(freq, bayes.total_instances(orders).scalar())
     return prior.select("product", "f", "n", _r9(F.col("prior")).alias("prior"),
                         _r9(F.col("log_prior")).alias("log_prior"))
 
@@ -147,7 +151,7 @@ from ranked_all group by customer""")
 def q_collect_predictions(spark, sf):
     scores, hist = _scores_and_history(spark, sf)
     cands = recommend.all_candidates(scores, hist)
-    ranked = recommend.recommend_topk(cands, k=10 ** 9)
+    ranked = recommend.recommend_topk(cands, k=None)
     lists = recommend.collect_predictions(ranked)
     return lists.select("customer", F.size("items").cast("bigint").alias("n_candidates"),
                         F.concat_ws(" ", "items").alias("items"))
@@ -158,7 +162,7 @@ select customer, string_agg(product, ' ' order by rank) as items
 from ranked_all where rank <= {K} group by customer""")
 def q_truncate_list(spark, sf):
     scores, hist = _scores_and_history(spark, sf)
-    ranked = recommend.recommend_topk(recommend.all_candidates(scores, hist), k=10 ** 9)
+    ranked = recommend.recommend_topk(recommend.all_candidates(scores, hist), k=None)
     lists = recommend.truncate_list(recommend.collect_predictions(ranked), K)
     return lists.select("customer", F.concat_ws(" ", "items").alias("items"))
 

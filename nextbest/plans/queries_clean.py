@@ -45,36 +45,45 @@ with ptxt as (
   select p_partkey,
          case when p_size % 7 = 0 then 'NA'
               when p_size % 13 = 0 then 'x' || cast(p_size as varchar)
+              when p_size % 11 = 0 then cast(p_size as varchar) || 'd'
+              when p_size % 17 = 0 then 'NaN'
+              when p_size % 19 = 0 then '0x1p3'
+              when p_size % 5 = 0 then cast(p_size as varchar) || '.0 '
               else ' ' || cast(p_size as varchar) end as size_txt
   from part
 )
 """
+# DuckDB's cast takes neither a type suffix nor a hexadecimal float, but it takes NaN.
+_SIZE_NUM = "case when trim(size_txt) <> 'NaN' then try_cast(trim(size_txt) as double) end"
 
 
 def _part_text(spark, sf):
     p = S.Tables(spark, sf).read("part", ["p_partkey", "p_size"])
     txt = (F.when(F.col("p_size") % 7 == 0, F.lit("NA"))
            .when(F.col("p_size") % 13 == 0, F.concat(F.lit("x"), F.col("p_size").cast("string")))
+           .when(F.col("p_size") % 11 == 0, F.concat(F.col("p_size").cast("string"), F.lit("d")))
+           .when(F.col("p_size") % 17 == 0, F.lit("NaN"))
+           .when(F.col("p_size") % 19 == 0, F.lit("0x1p3"))
+           .when(F.col("p_size") % 5 == 0, F.concat(F.col("p_size").cast("string"), F.lit(".0 ")))
            .otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"))))
     return p.select("p_partkey", txt.alias("size_txt"))
 
 
-@register("numeric_coerce", _PART_TEXT + """
-select p_partkey, size_txt, try_cast(trim(size_txt) as double) as size_num from ptxt""")
+@register("numeric_coerce", _PART_TEXT + f"""
+select p_partkey, size_txt, {_SIZE_NUM} as size_num from ptxt""")
 def q_numeric_coerce(spark, sf):
     return _part_text(spark, sf).withColumn("size_num", X.numeric_coerce("size_txt"))
 
 
-@register("drop_null_records", _PART_TEXT + """
-select p_partkey, try_cast(trim(size_txt) as double) as size_num from ptxt
-where try_cast(trim(size_txt) as double) is not null""")
+@register("drop_null_records", _PART_TEXT + f"""
+select p_partkey, {_SIZE_NUM} as size_num from ptxt where {_SIZE_NUM} is not null""")
 def q_drop_null_records(spark, sf):
     df = _part_text(spark, sf).select("p_partkey", X.numeric_coerce("size_txt").alias("size_num"))
     return clean.drop_null_records(df, ["size_num"])
 
 
 @register("age_normalize", _PART_TEXT + f"""
-, a0 as (select p_partkey, try_cast(trim(size_txt) as double) as a from ptxt),
+, a0 as (select p_partkey, {_SIZE_NUM} as a from ptxt),
 m1 as (select avg(a) as v from a0 where a between {SIZE_BANDS[0]} and {SIZE_BANDS[1]}),
 a1 as (select p_partkey, case when a < {SIZE_BANDS[0]} then (select v from m1) else a end as a
        from a0),
@@ -258,29 +267,37 @@ def q_sort_snapshot(spark, sf):
 
 # --------------------------------------------------------------------------- wide flags
 
-_FLAGS = Q.model_ctes() + Q.brand_flags_cte()
-_BRANDS = S.brand_catalogue()
+def _flags(spark, sf):
+    return S.brand_flags(S.Tables(spark, sf), cutoff=None)
 
 
-@register("cast_flags", _FLAGS + "select * from flags")
+@register("cast_flags", Q.brand_flags_sql(Q.BRANDS))
 def q_cast_flags(spark, sf):
-    wide = S.brand_flags(S.Tables(spark, sf))
-    return clean.cast_flags(wide, _BRANDS)
+    wide = _flags(spark, sf)
+    brands = wide.columns[2:]
+    # flags as a text scan gives them: plain, decimal and padded
+    text = wide.withColumns({b: F.concat(F.col(f"`{b}`"), F.lit(["", ".0", " "][i % 3]))
+                             for i, b in enumerate(brands)})
+    return clean.cast_flags(text, brands)
 
 
 _REGEX = "Brand#1[0-9]*"
 
 
-@register("select_by_regex", _FLAGS + "select o_orderkey, " + ", ".join(
-    f'"{b}"' for b in _BRANDS if b == "Brand#1" or b.startswith("Brand#1")) + " from flags")
+@register("select_by_regex", "select o_orderkey, " + ", ".join(
+    f'"{b}"' for b in Q.BRANDS if b.startswith("Brand#1"))
+    + f" from ({Q.brand_flags_sql([b for b in Q.BRANDS if b.startswith('Brand#1')])})")
 def q_select_by_regex(spark, sf):
-    return clean.select_by_regex(S.brand_flags(S.Tables(spark, sf)), _REGEX, keep=["o_orderkey"])
+    return clean.select_by_regex(_flags(spark, sf), _REGEX, keep=["o_orderkey"])
 
 
-@register("purchase_long", Q.model_ctes() + "select o_orderkey, customer, product from basket")
+@register("purchase_long", """
+select distinct o.o_orderkey, o.o_custkey as customer, p.p_brand as product
+from orders o join lineitem l on l.l_orderkey = o.o_orderkey
+join part p on p.p_partkey = l.l_partkey""")
 def q_purchase_long(spark, sf):
-    wide = S.brand_flags(S.Tables(spark, sf))
-    return features.purchase_long(wide, ["o_orderkey", "customer"], _BRANDS)
+    wide = _flags(spark, sf)
+    return features.purchase_long(wide, ["o_orderkey", "customer"], wide.columns[2:])
 
 
 # --------------------------------------------------------------------------- dictionary

@@ -116,7 +116,7 @@ ap as (
 
 
 def raw_snapshot_cte() -> str:
-    """``raw`` (and ``rawc``, the same with a row-order key): the raw-snapshot stand-in."""
+    """``raw``: the raw-snapshot stand-in."""
     return """
 with raw as (
   select
@@ -165,16 +165,19 @@ with raw as (
 """
 
 
-def brand_flags_cte(cutoff: str = S.TRAIN_CUTOFF) -> str:
-    """``flags``: one row per training order, one 0/1 column per brand (append to model_ctes)."""
+# The brands of the test tables (the Spark side reads them from ``part``).
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+
+def brand_flags_sql(columns: list[str]) -> str:
+    """One row per order, all orders, with the given 0/1 brand columns."""
     cols = ",\n    ".join(
-        f"cast(coalesce(max(case when b.product = '{p}' then 1 end), 0) as integer) as \"{p}\""
-        for p in S.brand_catalogue())
-    return f""",
-flags as (
-  select t.o_orderkey, t.customer,
+        f"cast(coalesce(max(case when p.p_brand = '{p}' then 1 end), 0) as integer) as \"{p}\""
+        for p in columns)
+    return f"""
+  select o.o_orderkey, o.o_custkey as customer,
     {cols}
-  from train_orders t left join basket b on b.o_orderkey = t.o_orderkey
-  group by t.o_orderkey, t.customer
-)
+  from orders o left join lineitem l on l.l_orderkey = o.o_orderkey
+  left join part p on p.p_partkey = l.l_partkey
+  group by o.o_orderkey, o.o_custkey
 """

@@ -75,25 +75,26 @@ def actual_purchases(t: Tables, history: DataFrame, start: str = TRAIN_CUTOFF,
 
 # --------------------------------------------------------------------------- snapshot stand-ins
 
-def brand_catalogue(n: int = 25) -> list[str]:
-    """Product catalogue of the test tables: ``Brand#1`` .. ``Brand#n``."""
-    return [f"Brand#{i}" for i in range(1, n + 1)]
+def brand_catalogue(t: Tables) -> list[str]:
+    """Product catalogue of the test tables: the brands of ``part``, in order.
+
+    A catalogue becomes columns, so its size is that of a schema.
+    """
+    rows = t.read("part", ["p_brand"]).where("p_brand is not null").distinct().collect()
+    return sorted(r["p_brand"] for r in rows)
 
 
-def brand_flags(t: Tables, cutoff: str = TRAIN_CUTOFF) -> DataFrame:
-    """Wide training snapshot: one row per training order, one 0/1 column per brand.
+def brand_flags(t: Tables, cutoff: str | None = TRAIN_CUTOFF) -> DataFrame:
+    """Wide snapshot: one row per order (before ``cutoff``, None: all), one 0/1 column per brand.
 
-    The catalogue is given, so ``pivot`` needs no extra job to find it; orders
-    without line items keep a row of zeros (they still count as instances).
+    Orders without line items keep a row of zeros (they still count as instances).
     """
-    orders = orders_between(t, None, cutoff)
+    orders, brands = orders_between(t, None, cutoff), brand_catalogue(t)
     facts = basket(t, orders)
-    wide = (facts.groupBy("o_orderkey").pivot("product", brand_catalogue())
-            .agg(F.count(F.lit(1))))
+    wide = facts.groupBy("o_orderkey").pivot("product", brands).agg(F.count(F.lit(1)))
     out = orders.join(wide, "o_orderkey", "left")
     return out.select("o_orderkey", "customer",
-                      *[F.coalesce(F.col(b), F.lit(0)).cast("int").alias(b)
-                        for b in brand_catalogue()])
+                      *[F.coalesce(F.col(f"`{b}`"), F.lit(0)).cast("int").alias(b) for b in brands])
 
 
 # Fixed values of the stand-in: relation-month text per order priority.

@@ -24,6 +24,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("NEXTBEST_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -39,11 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points at shared storage and is used as is; if it
     is missing there, this raises instead of inventing a machine-local folder.
     Only in local mode (tests, bench) a scratch folder is made and registered.
+    Checkpoints go when Spark's cleaner finds them unused, if the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)

@@ -12,12 +12,17 @@ from pyspark.sql.types import StructType
 
 # Text that the snapshot files use for a missing value.
 NA_TOKENS = ["-999999", "NA", "         NA"]
+# Text that a pandas CSV scan takes for missing by default.
+DEFAULT_NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def null_tokens(df: DataFrame, cols: list[str] | None = None,
                 tokens: list[str] = NA_TOKENS) -> DataFrame:
-    """Turn NA tokens (compared after trimming) and empty text into nulls."""
-    trimmed = sorted({t.strip() for t in tokens} | {""})
+    """Turn NA tokens, the usual ones included, and empty text into nulls (after trimming)."""
+    trimmed = sorted({t.strip() for t in [*tokens, *DEFAULT_NA_TOKENS]})
     targets = cols or [c for c, t in df.dtypes if t == "string"]
 
     def fix(c: str) -> Column:

@@ -21,7 +21,7 @@ def test_wide_and_long_fit_agree(spark):
     attrs = S.customer_attributes(t)
     wide = (flags.join(attrs, "customer")
             .withColumn(S.ID_ATTR, F.col("customer")))
-    model = bayes.fit_snapshot(wide, S.ATTR_COLS + [S.ID_ATTR], S.brand_catalogue(),
+    model = bayes.fit_snapshot(wide, S.ATTR_COLS + [S.ID_ATTR], S.brand_catalogue(t),
                                wide_attrs=(S.ID_ATTR,))
     assert _rows(model.prior, ["product", "f", "n", "log_prior"]) == \
         _rows(fitted.model.prior, ["product", "f", "n", "log_prior"])
@@ -52,7 +52,7 @@ def test_broadcast_fallback_gives_same_scores(spark):
     fitted = P.fit_standin(t)
     facts = bayes.scoring_facts(fitted.attributes, S.ATTR_COLS, S.ID_ATTR)
     a = _rows(bayes.nb_score(fitted.model, facts), ["customer", "product", "score"])
-    b = _rows(bayes.nb_score(fitted.model, facts, max_broadcast_rows=0, salts=4),
+    b = _rows(bayes.nb_score(fitted.model, facts, max_bytes=0, salts=4),
               ["customer", "product", "score"])
     assert a == b
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from nextbest.plans import queries as R
 
 from conftest import SF_SMALL
 
@@ -26,12 +27,12 @@ def _norm(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(R.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = R.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
-    rel = duck.execute(E.oracle_sql()[name])
+    rel = duck.execute(R.oracle_sql()[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(dcols) == cols
     idx = [dcols.index(c) for c in cols]
@@ -40,7 +41,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(R.queries()) == set(R.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

@@ -166,7 +166,7 @@ def test_repeated_scoring_row_on_shuffled_paths(spark):
     facts = bayes.scoring_facts(sc, ["a"], "cid")
     fast = {(r.customer, r.product): r.score for r in bayes.nb_score(model, facts).collect()}
     slow = {(r.customer, r.product): r.score
-            for r in bayes.nb_score(model, facts, max_broadcast_rows=0, salts=3).collect()}
+            for r in bayes.nb_score(model, facts, max_bytes=0, salts=3).collect()}
     assert fast == slow
     # p1: attr x seen once with p1 (f=2), id 1 owns p1 once; both counted twice, prior once
     ll = 2 * math.log(2 / 3) + 2 * math.log(2 / 3)
