@@ -254,6 +254,34 @@ def q_recommend_and_evaluate(spark, sf):
         _r9(F.col("map_at_k")).alias("map_at_k"))
 
 
+# --------------------------------------------------------------------------- row snapshots
+
+_SNAPSHOT = Q.model_ctes() + Q.snapshot_ctes()
+
+
+def _snapshot_model(t: S.Tables) -> bayes.NaiveBayesModel:
+    """Fit on wide order rows: their own attributes, the customer id, and brand flags."""
+    flags = S.brand_flags(t, S.TRAIN_CUTOFF)
+    rows = flags.join(S.order_attributes(t, None, S.TRAIN_CUTOFF).drop("customer"), "o_orderkey")
+    rows = rows.withColumnRenamed("customer", S.ID_ATTR)
+    return bayes.fit_snapshot(rows, [*S.ORDER_ATTR_COLS, S.ID_ATTR], flags.columns[2:],
+                              wide_attrs=(S.ID_ATTR,))
+
+
+@register("snapshot_likelihood", _SNAPSHOT + """
+select attr, value, product, c, round(ll, 9) as ll from slik""")
+def q_snapshot_likelihood(spark, sf):
+    lik = _snapshot_model(S.Tables(spark, sf)).likelihood
+    return lik.select("attr", "value", "product", "c", _r9(F.col("ll")).alias("ll"))
+
+
+@register("snapshot_score", _SNAPSHOT + "select customer, product, score from sscore")
+def q_snapshot_score(spark, sf):
+    t = S.Tables(spark, sf)
+    rows = S.order_attributes(t, S.TRAIN_CUTOFF, S.ACTUAL_END)
+    return bayes.nb_score(_snapshot_model(t), bayes.scoring_facts(rows, S.ORDER_ATTR_COLS, S.ID_ATTR))
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from nextbest.functions import scalars as X
 from nextbest.operators import clean, encode, features
+from nextbest.plans import pipeline as P
 from nextbest.plans import sql as Q
 from nextbest.plans import standins as S
 from nextbest.plans.queries import register
+from nextbest.session import ensure_checkpoint_dir
 from nextbest.sources import records
 
 RAW = Q.raw_snapshot_cte()
@@ -420,6 +424,77 @@ def q_clean_snapshot(spark, sf):
     })
 
 
+# --------------------------------------------------------------------------- from files to files
+
+_PRODUCTS = ["ind_cco_fin_ult1", "ind_nomina_ult1", "ind_nom_pens_ult1"]
+_ATTRS = ["age", "ind_nuevo", "antiguedad", "indrel", "indrel_1mes", "tiprel_1mes", "sexo",
+          "conyuemp", "canal_entrada", "indfall", "nomprov", "ind_actividad_cliente", "segmento"]
+
+
+def _files_sql() -> str:
+    """Both splits cleaned on their own, then the model on text values.
+
+    The codes of the Spark side are a relabelling of the training values, and a
+    value without a code matches nothing, so the text values give the same scores.
+    """
+    raw0 = RAW.replace("with raw as", "with raw0 as", 1)
+    body = _CLEAN_SQL[len(RAW):]
+
+    def cleaned(where: str) -> str:
+        return f"(with raw as (select * from raw0 where {where}){body})"
+
+    def long(table: str) -> str:
+        return "\n  union all ".join(
+            f"select rid, ncodpers as customer, '{a}' as attr, cast({a} as varchar) as value"
+            f" from {table}" for a in [*_ATTRS, "ncodpers"])
+
+    def owned(table: str) -> str:
+        return "\n  union all ".join(
+            f"select rid, ncodpers as customer, '{p}' as product from {table} where {p} = 1"
+            for p in _PRODUCTS)
+
+    return f"""{raw0},
+tr as materialized (select row_number() over () as rid, * from {cleaned(
+        f"fecha_dato < '{S.TRAIN_CUTOFF}'")}),
+te as materialized (select row_number() over () as rid, * from {cleaned(
+        f"fecha_dato between '{S.TRAIN_CUTOFF}' and '{S.ACTUAL_LAST}'")}),
+tr_own as materialized ({owned('tr')}),
+freq as (select product, count(*) as f from tr_own group by product),
+prior as (select product, ln(cast(f as double) / (select count(*) from tr)) as log_prior from freq),
+afreq as (select attr, value, product, count(*) as c from ({long('tr')}) a
+  join tr_own o using (rid) group by all),
+lik as (select attr, value, product, ln((c + 1.0) / (f + 1.0)) as ll from afreq join freq using (product)),
+score as materialized (select customer, product, round(sum(ll) + max(log_prior), 9) as score
+  from ({long('te')}) t join lik using (attr, value) join prior using (product)
+  group by customer, product),
+hist as (select distinct customer, product from tr_own),
+marked as (select s.*, h.customer is not null as owned,
+    bool_or(h.customer is null) over (partition by s.customer) as novel
+  from score s left join hist h on h.customer = s.customer and h.product = s.product),
+ranked as materialized (select customer, product, row_number() over (
+    partition by customer order by score desc, product) as rank
+  from marked where not owned or not novel),
+actual as materialized (select distinct customer, product from ({owned('te')}) x
+  where not exists (select 1 from hist h where h.customer = x.customer and h.product = x.product)),
+hits as (select r.customer, r.rank, row_number() over (partition by r.customer order by r.rank) as h
+  from ranked r join actual using (customer, product) where r.rank <= 7),
+ap as (select a.customer, coalesce(any_value(s), 0) / least(count(*), 7) as ap
+  from actual a left join (select customer, sum(cast(h as double) / rank) as s from hits
+    group by customer) x using (customer) group by a.customer)
+select (select count(*) from tr) as n_train, (select count(*) from te) as n_test,
+  (select count(distinct customer) from ranked) as n_ranked_customers,
+  (select count(*) from ranked where rank <= 7) as n_recommendations,
+  count(*) as n_evaluated, round(avg(ap), 9) as map_at_k
+from ap"""
+
+
+@register("pipeline_end_to_end", _files_sql())
+def q_pipeline_end_to_end(spark, sf):
+    folder = f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    out = P.standin_from_files(S.Tables(spark, sf), folder, province_fixes=NATION_FIXES)
+    return out.withColumn("map_at_k", _r9(F.col("map_at_k")))
+
+
 # --------------------------------------------------------------------------- line records
 
 _LINES = """

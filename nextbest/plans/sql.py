@@ -115,6 +115,35 @@ ap as (
 """
 
 
+def snapshot_ctes(start: str = S.TRAIN_CUTOFF, end: str = S.ACTUAL_END) -> str:
+    """Extra CTEs (append after ``model_ctes``): attributes of single orders, their model."""
+    def attrs(where: str) -> str:
+        return f"""
+  select o_orderkey, o_custkey as customer, 'o_orderpriority' as attr, o_orderpriority as value
+  from orders where {where}
+  union all select o_orderkey, o_custkey, 'o_orderstatus', o_orderstatus from orders where {where}
+  union all select o_orderkey, o_custkey, 'c_custkey', cast(o_custkey as varchar)
+  from orders where {where}"""
+    return f""",
+sattr as ({attrs(f"o_orderdate < timestamp '{start}'")}),
+sfacts as ({attrs(f"o_orderdate >= timestamp '{start}' and o_orderdate < timestamp '{end}'")}),
+safreq as (
+  select a.attr, a.value, b.product, count(*) as c
+  from basket b join sattr a on a.o_orderkey = b.o_orderkey group by a.attr, a.value, b.product
+),
+slik as (
+  select a.attr, a.value, a.product, a.c, ln((a.c + 1.0) / (f.f + 1.0)) as ll
+  from safreq a join freq f on f.product = a.product
+),
+sscore as (
+  select s.customer, l.product, round(sum(l.ll) + max(p.log_prior), 9) as score
+  from sfacts s join slik l on l.attr = s.attr and l.value = s.value
+  join prior p on p.product = l.product
+  group by s.customer, l.product
+)
+"""
+
+
 def raw_snapshot_cte() -> str:
     """``raw``: the raw-snapshot stand-in."""
     return """

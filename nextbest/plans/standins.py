@@ -20,6 +20,7 @@ from nextbest.sources.tables import read_table
 # Fixed parameters of the time split.
 TRAIN_CUTOFF = "1996-01-01"
 ACTUAL_END = "1997-01-01"
+ACTUAL_LAST = "1996-12-31"
 LATE_CUTOFF = "2001-01-01"   # leaves customers who own every brand (exhausted case)
 ATTR_COLS = ["c_nationkey", "c_mktsegment", "acctbal_band"]
 ID_ATTR = "c_custkey"
@@ -58,6 +59,15 @@ def basket(t: Tables, orders: DataFrame) -> DataFrame:
             .distinct())
 
 
+def order_attributes(t: Tables, start: str | None, end: str | None) -> DataFrame:
+    """``(o_orderkey, customer, o_orderpriority, o_orderstatus)``: attributes of single orders."""
+    o = t.read("orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    return orders_between(t, start, end).join(o, "o_orderkey")
+
+
+ORDER_ATTR_COLS = ["o_orderpriority", "o_orderstatus"]
+
+
 def customer_attributes(t: Tables) -> DataFrame:
     """``(customer, c_nationkey, c_mktsegment, acctbal_band)``, one row per customer."""
     c = t.read("customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"])
