@@ -48,7 +48,7 @@ MARKERS = {
 }
 _ROLE_OF = {word: role for role, some in MARKERS.items() for word in some}
 _MARKER = re.compile(r"\s*(?:#{1,6}\s*|\*\*|<\||\[)?\s*([A-Za-z]{1,12})\s*(?:\*\*|\|>|\])?\s*"
-                     r"(?::(?:\*\*)?[ \t]*|(?<=[>\]])[ \t]*\n?|\n)")
+                     r"(?::(?:\*\*)?[ \t]*\n?|(?<=[>\]])[ \t]*\n?|\n)")
 
 
 def split_marker(text: str) -> tuple[str, str]:

@@ -122,12 +122,12 @@ class AdditiveModel:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> AdditiveModel:
         n, width = x.shape
+        if not n:
+            return self
         self.edges = [self._edges(x[:, j], self.max_bins) for j in range(width)]
         self.coarse = [self._edges(x[:, j], self.pair_bins) for j in range(width)]
         self.tables = [np.zeros(len(e) + 1) for e in self.edges]
         self.pair_tables = []
-        if not n:
-            return self
         mean = (y.sum() + 1) / (n + 2)
         self.base = float(np.log(mean / (1 - mean)))
         if y.min() == y.max():
@@ -174,15 +174,17 @@ class AdditiveModel:
         return self
 
     def _pair_tree(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """One cut of the first feature, then one of the second on each side."""
-        rows = _tree(g.sum(axis=1), h.sum(axis=1), 2, self.least, self.ridge)
-        cut = np.flatnonzero(np.diff(rows))
-        cut = int(cut[0]) + 1 if len(cut) else g.shape[0]
-        out = np.zeros_like(g)
-        for part in (slice(0, cut), slice(cut, None)):
-            if g[part].size:
-                out[part] = _tree(g[part].sum(axis=0), h[part].sum(axis=0), 2, self.least,
-                                  self.ridge)[None, :]
+        """The best cut of the first feature with one cut of the second on each side of it."""
+        best, out = -1.0, np.zeros_like(g)
+        for cut in range(1, max(2, g.shape[0])):
+            step = np.zeros_like(g)
+            for part in (slice(0, cut), slice(cut, None)):
+                if g[part].size:
+                    step[part] = _tree(g[part].sum(axis=0), h[part].sum(axis=0), 2, self.least,
+                                       self.ridge)[None, :]
+            gain = float((g * step).sum())  # the loss that a full step would take off, doubled
+            if gain > best:
+                best, out = gain, step
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
