@@ -15,11 +15,13 @@ Rounding a rate into whole copies: every document gets ``floor(rate)``; the
 remaining words go, one copy each, to the documents with the smallest hashes of
 id and text, up to a threshold hash found from bucket sums.  What is missing
 then (less than one document) is filled by the largest documents that still
-fit, one for each source and round.  A source's decision is thus a threshold and
-a short list, applied to documents of any width by one join with the sources.
+fit, one for each source and round, and at last by one that overshoots if that
+comes nearer.  A source's decision is thus a threshold and a short list, applied
+to documents of any width by one join with the sources.
 
-Hot sources: sums are pre-aggregated, and only the one bucket of 4,096 that holds
-a source's threshold is ever sorted.
+Hot sources: sums are pre-aggregated, only the one bucket of 4,096 that holds a
+source's threshold is ever sorted, and the table of sources is broadcast if its
+measured bytes allow (else the join is salted).
 
 Edge cases: null and empty texts have size 0 and take 0 words; a null source is
 a source of its own, sorted last; identical rows (same id and text) are all in or
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nextbest.llm.common import checkpointed, words
+from nextbest.operators.joins import join_small, measured_bytes
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -40,8 +43,6 @@ FILL_ROUNDS = 16
 #: Counts are whole words; this absorbs rounding when one is compared with a share.
 TOL = 1e-3
 _BUCKET_DIGITS = 3
-#: A table of sources up to this size is broadcast; a larger one is joined by shuffle.
-BROADCAST_BYTES = 8 << 20
 
 _KEY, _HASH = "__source_key", "__hash"
 
@@ -105,6 +106,11 @@ def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             - F.col("copies") * F.col("source_size")).cast("double")
     sources = checkpointed(rated.withColumn("copies", copies).withColumn(
         "rest", F.greatest(rest, F.lit(0.0))))
+    # what is joined below has a row for each source too, of at most eight times the bytes
+    most = 8 * measured_bytes(sources)
+
+    def beside(rows: DataFrame, small: DataFrame, on: list[str], by: str) -> DataFrame:
+        return join_small(rows, small, on, known_bytes=most, salt_by=[by])
 
     # the bucket in which the running sum of sizes passes the rest
     bucket = F.substring(_HASH, 1, _BUCKET_DIGITS).alias("bucket")
@@ -116,8 +122,8 @@ def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     edge = checkpointed(edge.select(_KEY, "edge.bucket", "edge.before"))
 
     # inside it, the last document that still fits
-    inside = docs.withColumn("bucket", bucket).join(edge, [_KEY, "bucket"]).join(
-        sources.select(_KEY, "rest"), _KEY)
+    inside = beside(docs.withColumn("bucket", bucket),
+                    edge.join(sources.select(_KEY, "rest"), _KEY), [_KEY, "bucket"], _HASH)
     order = Window.partitionBy(_KEY).orderBy(_HASH).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(order))
@@ -134,35 +140,45 @@ def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     state = checkpointed(state)
 
     # the largest document that fits what is missing, again and again
-    left = docs.join(state.select(_KEY, "upto_hash"), _KEY).where(
-        (F.col(_HASH) > F.col("upto_hash")) & (F.col("size") > 0))
-    left = left.select(_KEY, F.struct("size", F.col(_HASH).alias("hash")).alias("doc"))
     open_gap = state.agg(F.max("gap")).first()[0] or 0.0
-    left = checkpointed(left.join(state.select(_KEY, "gap"), _KEY).where(
-        F.col("doc.size") <= F.col("gap") + TOL).drop("gap")) if open_gap >= 1 else left
-    for _ in range(FILL_ROUNDS if open_gap >= 1 else 0):
-        found = left.join(state.select(_KEY, "gap", "last_fill"), _KEY).where(
-            (F.col("doc.size") <= F.col("gap") + TOL)
-            & (F.col("last_fill").isNull() | (F.col("doc") < F.col("last_fill")))).groupBy(
-            _KEY).agg(F.max("doc").alias("fill"))
-        state = checkpointed(state.join(found, _KEY, "left").select(
+    if open_gap < 1:
+        return state.select(*_MODEL)
+    left = beside(docs, state.select(_KEY, "upto_hash", "gap"), [_KEY], _HASH).where(
+        (F.col(_HASH) > F.col("upto_hash")) & (F.col("size") > 0)
+        & (F.col("size") < 2 * F.col("gap")))
+    left = checkpointed(left.select(
+        _KEY, F.struct("size", F.col(_HASH).alias("hash")).alias("doc")))
+
+    def add(found: DataFrame) -> DataFrame:
+        return checkpointed(state.join(found, _KEY, "left").select(
             *sources.columns, "upto_hash",
             (F.col("gap") - F.coalesce("fill.size", F.lit(0))).alias("gap"),
             F.coalesce("fill", "last_fill").alias("last_fill"),
             F.when(F.col("fill").isNull(), F.col("fills")).otherwise(
                 F.array_append("fills", F.col("fill.hash"))).alias("fills"),
             F.col("fill").isNotNull().alias("__more")))
+
+    for _ in range(FILL_ROUNDS):
+        fits = beside(left, state.select(_KEY, "gap", "last_fill"), [_KEY], "doc").where(
+            (F.col("doc.size") <= F.col("gap") + TOL)
+            & (F.col("last_fill").isNull() | (F.col("doc") < F.col("last_fill"))))
+        state = add(fits.groupBy(_KEY).agg(F.max("doc").alias("fill")))
         more = state.agg(F.max("__more")).first()[0]
         state = state.drop("__more")
         if not more:
             break
-    return state.select(_KEY, "source_size", "target", "rate", "copies", "upto_hash", "fills")
+    over = beside(left, state.select(_KEY, "gap", "fills"), [_KEY], "doc").where(
+        (F.col("doc.size") > F.col("gap") + TOL) & (F.col("doc.size") < 2 * F.col("gap") - TOL)
+        & ~F.array_contains("fills", F.col("doc.hash")))
+    state = add(over.groupBy(_KEY).agg(F.min("doc").alias("fill")))
+    return state.select(*_MODEL)
+
+
+_MODEL = [_KEY, "source_size", "target", "rate", "copies", "upto_hash", "fills"]
 
 
 def join_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
-    """Broadcast the table of sources where its measured size allows, else join by shuffle."""
-    size = sources.agg(F.sum(F.length(_KEY) * 4 + F.size("fills") * 40 + 100)).first()[0] or 0
-    return docs.join(F.broadcast(sources) if size <= BROADCAST_BYTES else sources, _KEY)
+    return join_small(docs, sources, [_KEY], salt_by=[_HASH])
 
 
 def copies_column() -> Column:

@@ -52,11 +52,20 @@ g{i + 1} AS MATERIALIZED (SELECT g.source, gap - coalesce(pick.size, 0) AS gap,
   coalesce(pick, fill) AS fill,
   CASE WHEN pick IS NULL THEN fills ELSE list_append(fills, pick.h) END AS fills
   FROM g{i} g LEFT JOIN f{i} f ON f.source IS NOT DISTINCT FROM g.source)""")
+    last = em.FILL_ROUNDS
+    ctes.append(f"""o_left AS (SELECT o.source, o.size, o.h, g.gap, g.fills FROM o
+  JOIN g{last} g ON o.source IS NOT DISTINCT FROM g.source WHERE upto > rest + {em.TOL})""")
+    ctes.append(f"""over AS MATERIALIZED (SELECT source, min({{'size': size, 'h': h}}) AS pick
+  FROM o_left WHERE size > gap + {em.TOL} AND size < 2 * gap - {em.TOL}
+  AND NOT list_contains(fills, h) GROUP BY source)""")
+    ctes.append(f"""g AS MATERIALIZED (SELECT g.source, CASE WHEN pick IS NULL THEN fills
+  ELSE list_append(fills, pick.h) END AS fills
+  FROM g{last} g LEFT JOIN over ON over.source IS NOT DISTINCT FROM g.source)""")
     return "WITH " + ",\n".join(ctes) + f"""
 SELECT doc_id, size, source_size, target, size * (copies + CASE WHEN upto <= t.rest + {em.TOL}
   OR list_contains(fills, h) THEN 1 ELSE 0 END) AS taken
 FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
-JOIN g{em.FILL_ROUNDS} g ON o.source IS NOT DISTINCT FROM g.source"""
+JOIN g ON o.source IS NOT DISTINCT FROM g.source"""
 
 
 QUERIES = {"op4_entropy_mix": op4_entropy_mix}
