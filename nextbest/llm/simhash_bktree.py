@@ -241,9 +241,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked = groups.join(roots, F.col("fp") == F.col("node"))
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("low"))
     lows = linked.join(smallest, "root").select("fp", "root", "low")
-    labels = groups.join(lows, "fp", "left").select(
+    # written, so that both sides of the last join are plain exchanges: AQE can then
+    # split the task of a fingerprint that a third of all documents share
+    labels = checkpointed(groups.join(lows, "fp", "left").select(
         "fp", F.coalesce("low", "first_id").alias("component_id"),
-        F.coalesce("root", "fp").alias("group"))
+        F.coalesce("root", "fp").alias("group")))
     return named.join(labels, "fp")
 
 
