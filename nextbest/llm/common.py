@@ -41,6 +41,19 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(*[F.xxhash64(c) for c in cols])
 
 
+def hash_sample(rows: DataFrame, col: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows, those with the smallest hashes of ``col``.
+
+    Rows far above the hash that the limit will end at are left out first, so
+    that not every task sends ``limit`` rows to the merge.
+    """
+    total, rank = rows.count(), F.shiftrightunsigned(F.xxhash64(col), 1)
+    if total > limit:
+        share = min(1.0, (1.1 * limit + 1000) / total)
+        rows = rows.where(rank <= F.lit(int(share * ((1 << 63) - 1))))
+    return rows.orderBy(rank, col).limit(limit)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null text: empty array)."""
     parts = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nextbest.llm.common import WORD, checkpointed, column, fold, slices
+from nextbest.llm.common import WORD, checkpointed, column, fold, hash_sample, slices
 
 FEATURES = ("log_words", "mean_word", "long_words", "short_words", "symbols", "upper", "digits",
             "marks", "stops", "commas", "distinct", "top_word", "stutter", "repeat_pairs",
@@ -200,10 +200,16 @@ class AdditiveModel:
 
 def training_rows(featured: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                   max_rows: int) -> DataFrame:
-    """Labelled rows outside the held-out fold: at most ``max_rows``, by smallest hash."""
-    use = labels.where(F.col(label).isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-    joined = featured.join(use.select("doc_id", F.col(label).cast("double").alias("y")), "doc_id")
-    return joined.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    """(x, y) of labelled rows outside the held-out fold: at most ``max_rows``, by smallest hash.
+
+    An id with several labels takes the largest.  The picked labels are bounded
+    by ``max_rows``, so they are broadcast and no features are shuffled.
+    """
+    use = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
+                       & (fold(F.col("doc_id"), folds) != held_out))
+    use = use.groupBy("doc_id").agg(F.max(F.col(label).cast("double")).alias("y"))
+    picked = checkpointed(hash_sample(use, "doc_id", max_rows))
+    return featured.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -212,7 +218,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     """doc_id, held_out, score, predicted."""
     featured = checkpointed(add_features(docs, doc_id, text))
     labels = labels.select(F.col(doc_id).alias("doc_id"), label)
-    rows = training_rows(featured, labels, label, folds, held_out, max_rows).select("x", "y").collect()
+    rows = training_rows(featured, labels, label, folds, held_out, max_rows).collect()
+    rows.sort(key=lambda r: r["doc_id"])
     x = np.array([r["x"] for r in rows], dtype=float).reshape(-1, len(FEATURES))
     model = AdditiveModel().fit(x, np.array([r["y"] for r in rows], dtype=float))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nextbest.llm.common import checkpointed, column, fold, slices
+from nextbest.llm.common import checkpointed, column, fold, hash_sample, slices
 
 _WORDS = re.compile(r"[^\W_]+")
 _REMEMBERED = 500_000
@@ -240,13 +240,15 @@ class TextCNN:
 
 def training_sample(labels: DataFrame, label: str, folds: int, held_out: int, max_positive: int,
                     max_negative: int) -> DataFrame:
-    """(doc_id, y): at most the given numbers of rows, those with the smallest hash."""
+    """(doc_id, y): at most the given numbers of rows, those with the smallest hash.
+
+    An id with several labels takes the largest.
+    """
     rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
-                        & (fold(F.col("doc_id"), folds) != held_out)).select(
-        "doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
-    order = (F.xxhash64("doc_id"), "doc_id")
-    return rows.where("y = 1").orderBy(*order).limit(max_positive).unionByName(
-        rows.where("y = 0").orderBy(*order).limit(max_negative))
+                        & (fold(F.col("doc_id"), folds) != held_out)).groupBy("doc_id").agg(
+        F.max(F.col(label).cast("int")).alias("y"))
+    return hash_sample(rows.where("y = 1"), "doc_id", max_positive).unionByName(
+        hash_sample(rows.where("y = 0"), "doc_id", max_negative))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -273,7 +275,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
         F.broadcast(sample), "doc_id").select("doc_id", "y", "lang", text)
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = picked.mapInArrow(hashed, f"doc_id {kind}, y int, lang string, words binary").withColumn(
-        "apart", F.xxhash64(F.lit("calibrate"), "doc_id") % 4 == 0).collect()
+        "apart", F.xxhash64(F.lit("calibrate"), "doc_id") % 4 == 0).dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["words"]))
     model = TextCNN().fit([np.frombuffer(r["words"], dtype=np.uint64) for r in rows],
                           np.array([r["y"] for r in rows]), [r["lang"] for r in rows],
