@@ -81,6 +81,28 @@ def q_attr_long(spark, sf):
     return bayes.scoring_facts(attrs, S.ATTR_COLS, S.ID_ATTR)
 
 
+@register("attr_long_types", """
+with c as (
+  select c_custkey, c_nationkey as as_int,
+         case when c_mktsegment <> 'HOUSEHOLD' then floor(c_acctbal / 1000) end as as_double,
+         case when c_mktsegment <> 'BUILDING' then c_mktsegment end as as_text
+  from customer
+)
+select c_custkey, 'as_int' as attr, cast(as_int as varchar) as value from c
+union all select c_custkey, 'as_double', coalesce(cast(cast(as_double as bigint) as varchar), '') from c
+union all select c_custkey, 'as_decimal', coalesce(cast(cast(as_double as bigint) as varchar), '') from c
+union all select c_custkey, 'as_text', coalesce(as_text, '') from c""")
+def q_attr_long_types(spark, sf):
+    c = S.Tables(spark, sf).read("customer", ["c_custkey", "c_nationkey", "c_acctbal",
+                                               "c_mktsegment"])
+    number = F.when(F.col("c_mktsegment") != "HOUSEHOLD",
+                    F.floor(F.col("c_acctbal") / 1000).cast("double"))
+    cols = c.select("c_custkey", F.col("c_nationkey").cast("int").alias("as_int"),
+                    number.alias("as_double"), number.cast("decimal(12,2)").alias("as_decimal"),
+                    F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("as_text"))
+    return features.attr_long(cols, ["c_custkey"], cols.columns[1:])
+
+
 @register("purchase_history", Q.model_ctes() + """
 select customer, cast(count(*) as bigint) as n_products,
        string_agg(product, ' ' order by product) as items
@@ -234,6 +256,30 @@ def q_average_precision(spark, sf):
     return ap.select("customer", "n_actual", _r9(F.col("ap")).alias("ap"))
 
 
+@register("average_precision_repeats", _EVAL + """,
+bought as (
+  select t.customer, p.p_brand as product
+  from later_orders t join lineitem l on l.l_orderkey = t.o_orderkey
+  join part p on p.p_partkey = l.l_partkey
+  where not exists (select 1 from hist h where h.customer = t.customer and h.product = p.p_brand)
+),
+nrep as (select customer, count(*) as n_actual from bought group by customer)
+select n.customer, cast(n.n_actual as bigint) as n_actual,
+       round(coalesce(sum(case when p.hit then cast(p.hits as double) / p.rank end), 0.0)
+             / least(n.n_actual, 7), 9) as ap
+from nrep n left join prec p on p.customer = n.customer group by n.customer, n.n_actual""")
+def q_average_precision_repeats(spark, sf):
+    """Actual lists with an item for every line bought, as a record file may hold them."""
+    t = S.Tables(spark, sf)
+    predicted, _ = _evaluation_inputs(spark, sf)
+    hist = features.purchase_history(S.basket(t, S.orders_between(t, None, S.TRAIN_CUTOFF)))
+    lines = S.purchase_lines(t, S.orders_between(t, S.TRAIN_CUTOFF, S.ACTUAL_END))
+    new = lines.join(hist, ["customer", "product"], "left_anti")
+    ap = evaluate.average_precision(predicted, new.select("customer", F.col("product").alias("item")),
+                                    K, count_repeats=True)
+    return ap.select("customer", "n_actual", _r9(F.col("ap")).alias("ap"))
+
+
 @register("map_at_k", _EVAL + """
 select round(avg(ap), 9) as map_at_k, cast(count(*) as bigint) as n_customers from ap""")
 def q_map_at_k(spark, sf):

@@ -20,7 +20,9 @@ RAW = Q.raw_snapshot_cte()
 NATION_FIXES = {"NATION_7": "NATION_07"}
 # Stand-in bands for age-like p_size (1..50) in place of 18 / 30 / 100.
 SIZE_BANDS = (10, 20, 45)
-DICT_COLS = ["indrel_1mes", "tiprel_1mes", "sexo", "canal_entrada", "nomprov", "segmento"]
+# The last one is a date: values after the training split are unseen and get code 0.
+DICT_COLS = ["indrel_1mes", "tiprel_1mes", "sexo", "canal_entrada", "nomprov", "segmento",
+             "ult_fec_cli_1t"]
 
 
 def _raw(spark, sf):

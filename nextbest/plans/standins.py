@@ -45,8 +45,8 @@ def orders_between(t: Tables, start: str | None, end: str | None) -> DataFrame:
     return o.select("o_orderkey", F.col("o_custkey").alias("customer"))
 
 
-def basket(t: Tables, orders: DataFrame) -> DataFrame:
-    """Distinct ``(o_orderkey, customer, product)``: brands on each order.
+def purchase_lines(t: Tables, orders: DataFrame) -> DataFrame:
+    """``(o_orderkey, customer, product)``, one row per line item, repeats included.
 
     Join order and strategy are left to Catalyst and AQE (the date filter is
     pushed into the orders scan; only key columns are read from lineitem).
@@ -55,8 +55,12 @@ def basket(t: Tables, orders: DataFrame) -> DataFrame:
     part = t.read("part", ["p_partkey", "p_brand"])
     return (orders.join(li, orders.o_orderkey == li.l_orderkey)
             .join(part, li.l_partkey == part.p_partkey)
-            .select("o_orderkey", "customer", F.col("p_brand").alias("product"))
-            .distinct())
+            .select("o_orderkey", "customer", F.col("p_brand").alias("product")))
+
+
+def basket(t: Tables, orders: DataFrame) -> DataFrame:
+    """Distinct ``(o_orderkey, customer, product)``: brands on each order."""
+    return purchase_lines(t, orders).distinct()
 
 
 def order_attributes(t: Tables, start: str | None, end: str | None) -> DataFrame:
