@@ -32,15 +32,6 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Deal rows evenly over the shuffle partitions by a hash of their contents.
-
-    Long documents that sit together in one input file then meet in no single
-    task.  Deterministic, so a recomputed task gets the same rows again.
-    """
-    return df.repartition(*[F.xxhash64(c) for c in cols])
-
-
 def hash_sample(rows: DataFrame, col: str, limit: int) -> DataFrame:
     """At most ``limit`` rows, those with the smallest hashes of ``col``.
 

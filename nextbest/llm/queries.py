@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nextbest.llm import (
-    chat_query, decontam_query, entropy_mix_query, model_queries, simhash_query, token_query, weak_rules_query)
+    chat_query,
+    decontam_query,
+    entropy_mix_query,
+    model_queries,
+    simhash_query,
+    token_query,
+    weak_rules_query,
+)
 
 _MODULES = (model_queries, simhash_query, entropy_mix_query, token_query, weak_rules_query,
             decontam_query, chat_query)

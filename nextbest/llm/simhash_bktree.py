@@ -38,7 +38,6 @@ from nextbest.llm.components import UnionFind, connected_components
 
 BITS = 64
 SEED = 42
-_MASK = (1 << BITS) - 1
 #: Shingles whose bits are summed at once; bounds memory on very long texts.
 _CHUNK = 1 << 16
 
