@@ -41,7 +41,8 @@ from nextbest.llm.common import checkpointed, column, crc, slices
 CHECKPOINT = 64
 BLOCK_TOKENS = 1 << 16
 MAX_BITS = 18
-_REMEMBERED = 1_000_000
+#: Words, and pieces of words, that a worker remembers; each memory is emptied when it is full.
+_REMEMBERED = 600_000
 
 
 # ---------------------------------------------------------------- tokenising
