@@ -43,9 +43,9 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     for r in rows[4]:
         taken[r.source] = taken.get(r.source, 0) + size(r)
     for source, target in plain_targets(sizes).items():
-        # no source is further off than half its smallest document, or than a share of the target
-        small = min(size(r) for r in rows[3] if r.source == source)
-        assert abs(taken.get(source, 0) - target) <= max(small, 0.25 * target)
+        # what rounding leaves is less than one document; a source has but a few of them here
+        assert abs(taken.get(source, 0) - target) <= max(
+            size(r) for r in rows[3] if r.source == source)
     assert max(sum(r == x for x in rows[4]) for r in rows[3]) <= 3
 
     want = plain_rows([(r.doc_id, r.text) for r in rows[4]])
