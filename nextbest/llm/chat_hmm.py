@@ -1,27 +1,35 @@
 """Chat formatting: a hidden Markov model recovers who speaks in a transcript.
 
-A transcript is a run of messages, each a block of lines, some of them behind a
-speaker marker ("User:", "Assistant:", "### Response" and the like).  A state of
-the model is a role; a message's observations are the marker of its first line
-(which may be missing or wrong) and its line features: length class, number of
-lines, ending in a question mark, list or code lines, being the first message.
-Start, transition and observation probabilities are counted over transcripts
-with known roles (one row per pair of states or feature value reaches the
-driver).  Viterbi finds the likeliest roles, and turns are rendered in one
-canonical form: consecutive messages of a role become one turn.
-
-Viterbi runs in blocks, so no transcript has to fit in one task.  A block of
-messages is a max-plus matrix (best score from any entry role to any exit role);
-a scan over a transcript's block matrices, ``block`` times shorter than the
-transcript, fixes the roles at the block borders; the blocks then trace their own
-messages between fixed borders.  The result is that of one pass, ties included
-(the role first in ROLES wins).
+A transcript is a run of lines, given as one text or as several (a row each, in
+the order of their turns); some lines begin with a speaker marker ("User:",
+"Assistant:", "### Response" and the like), on their own or before words.  A
+state of the model is a role together with whether the line begins a message or
+goes on with it ("user", "user+"); a line's observations are its marker (which
+may be missing or wrong) together with whether it opens its row, its length
+class, its end, list or code marks, and being the transcript's first.  A row's
+first line always begins a message; inside a row the model decides, so markers
+in the middle of a text count and unmarked lines stay with their message.
+Start, transition and observation probabilities are counted over lines with
+known states (one row per pair of states or feature value reaches the driver).
+Viterbi finds the likeliest states, and turns are rendered in one canonical
+form: consecutive messages of a role become one turn.
+
+Viterbi runs in blocks of ``BLOCK`` lines, so no transcript has to fit in one
+task.  A block is a max-plus matrix (best score from any entry state to any exit
+state); a scan over a transcript's block matrices, ``BLOCK`` times shorter than
+the transcript, fixes the states at the block borders; the blocks then trace
+their own lines between fixed borders.  The result is that of one pass, ties
+included (the state first in STATES wins).  A running sum of the blocks' role
+changes numbers the turns, and the pieces that blocks hold of a turn are joined.
+
+Blocks are cut by the position of a line, which range-partitioned rows give, and
+not by turn numbers: missing or repeated turns fill no block beyond its size.
 
 Edge cases: null texts are empty messages; null conversation ids form one
-transcript; messages of equal turn number are ordered by text; exact repeats of
-a row are one message; unknown roles train nothing; with nothing to learn from
-the smoothing alone decides (markers still count); an empty table gives an empty
-result; texts are kept whole.
+transcript; rows of equal turn number are ordered by text, null turns come
+first; exact repeats of a row are one; unknown roles train nothing; with nothing
+to learn from the smoothing alone decides (markers still count); an empty table
+gives an empty result; texts are kept whole but for markers and outer space.
 """
 
 from __future__ import annotations
@@ -31,12 +39,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nextbest.llm.common import checkpointed
+from nextbest.llm.common import checkpointed, slices
+from nextbest.operators.ranking import positions
 
 ROLES = ("system", "user", "assistant")
+#: A line begins a message of a role, or goes on with one.
+STATES = ROLES + tuple(f"{r}+" for r in ROLES)
 BLOCK = 256
 
 #: Speaker markers at the start of a message's first line, by role.
@@ -60,21 +71,40 @@ def split_marker(text: str) -> tuple[str, str]:
     return "none", text
 
 
-def observe(text: str | None, first: bool) -> tuple[dict[str, str], str]:
-    """(feature -> value, the message without its marker)."""
-    marker, body = split_marker(text or "")
+#: Observations of a line; a marker with "+" is met inside a row, not at its start.
+FEATURES = {"marker": [*MARKERS, "none", *(f"{m}+" for m in MARKERS), "none+"],
+            "words": [str(i) for i in range(11)], "end": ["?", ".", "other"],
+            "list": ["True", "False"], "first": ["True", "False"]}
+_INDEX = {k: {v: i for i, v in enumerate(some)} for k, some in FEATURES.items()}
+_LISTED = re.compile(r"\s*(?:[-*•]\s|\d+[.)]\s|```)")
+
+
+def observe(line: str, opens: bool, first: bool) -> dict[str, str]:
+    """feature -> value of a line that opens its row or not."""
+    marker, body = split_marker(line + "\n")
     body = body.strip()
-    lines = [x for x in body.split("\n") if x.strip()]
-    words = len(body.split())
-    listed = any(re.match(r"\s*(?:[-*•]\s|\d+[.)]\s|```)", x) for x in lines)
     return {
-        "marker": marker,
-        "words": str(min(10, words.bit_length())),
-        "lines": str(min(6, len(lines))),
+        "marker": marker + ("" if opens else "+"),
+        "words": str(min(10, len(body.split()).bit_length())),
         "end": "?" if body.endswith("?") else "." if body[-1:] in (".", "!", "…") else "other",
-        "list": str(listed),
+        "list": str(_LISTED.match(body) is not None),
         "first": str(first),
-    }, body
+    }
+
+
+def encode(observed: dict[str, str]) -> int:
+    code = 0
+    for name, some in FEATURES.items():
+        code = code * len(some) + _INDEX[name][observed[name]]
+    return code
+
+
+def decoded(code: int) -> dict[str, str]:
+    out = {}
+    for name, some in reversed(FEATURES.items()):
+        code, i = divmod(code, len(some))
+        out[name] = some[i]
+    return out
 
 
 class RoleModel:
@@ -83,18 +113,22 @@ class RoleModel:
     def __init__(self, counts: dict[tuple[str, str, str], int], roles: tuple[str, ...] = ROLES,
                  marker_trust: float = 50.0) -> None:
         self.roles = roles
-        self.start = self._rows(counts, "start", [""], roles)[0]
+        goes_on = np.array([r.endswith("+") for r in roles])
+        self.start = np.where(goes_on, -np.inf, self._rows(counts, "start", [""], roles)[0])
         self.step = self._rows(counts, "step", roles, roles)
-        values = {"marker": [*MARKERS, "none"], "words": [str(i) for i in range(11)],
-                  "lines": [str(i) for i in range(7)], "end": ["?", ".", "other"],
-                  "list": ["True", "False"], "first": ["True", "False"]}
-        self.seen = {}
-        for name, some in values.items():
-            trust = {(r, r): marker_trust for r in roles} | {
-                (r, "none"): marker_trust for r in roles} if name == "marker" else {}
-            table = self._rows(counts, name, roles, some, trust)
-            for j, value in enumerate(some):
-                self.seen[name, value] = table[:, j]
+        for i, a in enumerate(roles):  # only a message of the same role can go on
+            for j, b in enumerate(roles):
+                if b.endswith("+") and b.rstrip("+") != a.rstrip("+"):
+                    self.step[i, j] = -np.inf
+        self.table = np.zeros((1, len(roles)))  # code -> log probability by state
+        for name, some in FEATURES.items():
+            trust = {(r, v): marker_trust for r in roles for v in (
+                ("none+",) if r.endswith("+") else (r, f"{r}+", "none"))} if name == "marker" else {}
+            seen = self._rows(counts, name, roles, some, trust)
+            if name == "marker":
+                opens = np.array([not v.endswith("+") for v in some])
+                seen = np.where(goes_on[:, None] & opens[None, :], -np.inf, seen)
+            self.table = (self.table[:, None, :] + seen.T[None, :, :]).reshape(-1, len(roles))
 
     @staticmethod
     def _rows(counts, kind, froms, tos, more=None) -> np.ndarray:
@@ -102,8 +136,8 @@ class RoleModel:
                        for b in tos] for a in froms], dtype=float)
         return np.log(n / n.sum(axis=1, keepdims=True))
 
-    def emit(self, observed: dict[str, str]) -> np.ndarray:
-        return sum(self.seen[k, v] for k, v in observed.items())
+    def emits(self, codes: list[int]) -> np.ndarray:
+        return self.table[codes]
 
 
 def block_matrix(model: RoleModel, emits: np.ndarray, begins: bool) -> np.ndarray:
@@ -176,96 +210,154 @@ def _by_key(keys: list[str], work: Callable[[list[dict]], list[tuple]], names: l
     return run
 
 
-def messages(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) -> DataFrame:
-    """One row a message (exact repeats once): conv, turn, text, role, block, first."""
+def lines(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) -> DataFrame:
+    """One row a line: key, conv, block, pos, turn, line, label (its state if known), code."""
     picked = rows.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"),
                          F.col(text).alias("text"),
                          (F.col(role) if role else F.lit(None).cast("string")).alias("role"))
-    picked = picked.groupBy("conv", "turn", "text", "role").agg(F.count(F.lit(1)).alias("copies"))
-    heads = picked.groupBy("conv").agg(F.min(F.struct(
-        F.col("turn").isNotNull().alias("k"), "turn", "text")).alias("head"))
-    joined = picked.join(heads.select(F.col("conv").alias("__c"), "head"),
-                         F.col("conv").eqNullSafe(F.col("__c")))
-    return joined.select("conv", "turn", "text", "role",
-                         F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK).alias("block"),
-                         (F.col("turn").eqNullSafe(F.col("head.turn"))
-                          & F.col("text").eqNullSafe(F.col("head.text"))).alias("first"))
-
+    kind, role_kind = (picked.schema[c].dataType.simpleString() for c in ("conv", "role"))
+    whole = role_kind.startswith("array")
+    picked = picked.distinct().withColumn("key", F.coalesce(
+        F.concat(F.lit("c"), F.col("conv").cast("string")), F.lit("n")))
+    picked = picked.withColumn("n", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+    placed = positions(picked, ["turn", "text", "role"], ["key"], weight="n")
+    names = ["key", "conv", "block", "pos", "turn", "line", "label", "code"]
 
-_ORDER = ["conv", "block", "turn", "text", "role"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                known = r["role"] or ([] if whole else None)
+                for i, line in enumerate((r["text"] or "").split("\n")):
+                    pos = r["pos"] - r["n"] + i
+                    if whole:
+                        label = known[i] if i < len(known) else None
+                    else:
+                        label = known if not i or known is None else f"{known}+"
+                    out.append((r["key"], r["conv"], pos // BLOCK, pos, r["turn"], line, label,
+                                encode(observe(line, i == 0, pos == 0))))
+                    if len(out) == 20_000:
+                        yield _batch(out, names, types)
+                        out = []
+            if out:
+                yield _batch(out, names, types)
+
+    types = [pa.string(), _arrow(kind), pa.int64(), pa.int64(), pa.int64(), pa.string(),
+             pa.string(), pa.int32()]
+    return placed.select("key", "conv", "turn", "text", "role", "n", "pos").mapInArrow(
+        run, f"key string, conv {kind}, block long, pos long, turn long, line string, "
+        "label string, code int")
+
+
+def _arrow(kind: str) -> pa.DataType:
+    return {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def learn(found: DataFrame, train: Column) -> RoleModel:
-    """Counts over messages with a known role; transitions inside blocks and across them."""
+    """Counts over lines with a known state; transitions inside blocks."""
     def work(rows: list[dict]) -> list[tuple]:
-        out, before = [], None
-        for r in rows:
-            if r["role"] in ROLES:
-                observed, _ = observe(r["text"], r["first"])
-                out += [(k, r["role"], v, 1) for k, v in observed.items()]
-                if r["first"]:
-                    out.append(("start", "", r["role"], 1))
-                elif before is not None:
-                    out.append(("step", before, r["role"], 1))
-            before = r["role"] if r["role"] in ROLES else None
         totals: dict[tuple, int] = {}
-        for kind, a, b, n in out:
-            totals[kind, a, b] = totals.get((kind, a, b), 0) + n
+        before = None
+        for r in rows:
+            state = r["label"] if r["label"] in STATES else None
+            if state:
+                totals["code", str(r["code"]), state] = totals.get(
+                    ("code", str(r["code"]), state), 0) + 1
+                ahead = ("start", "", state) if r["pos"] == 0 else ("step", before, state)
+                if ahead[1] is not None:
+                    totals[ahead] = totals.get(ahead, 0) + 1
+            before = state
         return [(*k, n) for k, n in totals.items()]
 
-    rows = found.where(train).repartition("conv", "block").sortWithinPartitions(*_ORDER)
-    counts = rows.mapInArrow(
-        _by_key(["conv", "block"], work, ["kind", "a", "b", "n"],
+    rows = found.where(train).select("key", "block", "pos", "label", "code").repartition(
+        "key", "block").sortWithinPartitions("key", "block", "pos")
+    seen = rows.mapInArrow(
+        _by_key(["key", "block"], work, ["kind", "a", "b", "n"],
                 [pa.string(), pa.string(), pa.string(), pa.int64()]),
         "kind string, a string, b string, n long").groupBy("kind", "a", "b").agg(F.sum("n"))
-    return RoleModel({(r[0], r[1], r[2]): r[3] for r in counts.collect()})
+    counts: dict[tuple[str, str, str], int] = {}
+    for kind, a, b, n in seen.collect():
+        if kind == "code":
+            for name, value in decoded(int(a)).items():
+                counts[name, b, value] = counts.get((name, b, value), 0) + n
+        else:
+            counts[kind, a, b] = n
+    return RoleModel(counts, STATES)
 
 
 def decode(found: DataFrame, model: RoleModel) -> DataFrame:
-    """conv, block, turn, text, role, role_pred, body, marker of every message."""
+    """Pieces of turns: key, conv, block, starts (turns begun in the block up to and including
+    this one), turn, role, role_pred, marker, body.  A block's pieces of 0 starts go on with
+    the turn of the block before."""
     kind = found.schema["conv"].dataType.simpleString()
-    conv_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
     shared = found.sparkSession.sparkContext.broadcast(model)
     n = len(model.roles)
 
-    def emits(rows: list[dict]) -> np.ndarray:
-        return np.stack([shared.value.emit(observe(r["text"], r["first"])[0]) for r in rows])
-
     def matrix(rows: list[dict]) -> list[tuple]:
-        m = block_matrix(shared.value, emits(rows), rows[0]["first"])
-        return [(rows[0]["conv"], rows[0]["block"], m.reshape(-1).tolist())]
+        m = block_matrix(shared.value, shared.value.emits([r["code"] for r in rows]),
+                         rows[0]["pos"] == 0)
+        return [(rows[0]["key"], rows[0]["block"], m.reshape(-1).tolist())]
 
     def scan(rows: list[dict]) -> list[tuple]:
         ends = borders([np.array(r["m"]).reshape(n, n) for r in rows])
-        return [(r["conv"], r["block"], a, b) for r, (a, b) in zip(rows, ends)]
+        return [(r["key"], r["block"], a, b) for r, (a, b) in zip(rows, ends)]
 
     def path(rows: list[dict]) -> list[tuple]:
-        roles = trace(shared.value, emits(rows), rows[0]["entry"], rows[0]["leave"],
-                      rows[0]["first"])
-        out = []
-        for r, p in zip(rows, roles):
-            marker, body = split_marker(r["text"] or "")
-            out.append((r["conv"], r["block"], r["turn"], r["text"], r["role"],
-                        shared.value.roles[p], body.strip(), marker))
-        return out
-
-    sorted_rows = found.repartition("conv", "block").sortWithinPartitions(*_ORDER)
-    matrices = sorted_rows.mapInArrow(
-        _by_key(["conv", "block"], matrix, ["conv", "block", "m"],
-                [conv_type, pa.int64(), pa.list_(pa.float64())]),
-        f"conv {kind}, block long, m array<double>")
-    ends = matrices.repartition("conv").sortWithinPartitions("conv", "block").mapInArrow(
-        _by_key(["conv"], scan, ["c", "b", "entry", "leave"],
-                [conv_type, pa.int64(), pa.int32(), pa.int32()]),
-        f"c {kind}, b long, entry int, leave int")
-    placed = found.join(ends, F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
-    placed = placed.drop("c", "b").repartition("conv", "block").sortWithinPartitions(*_ORDER)
-    names = ["conv", "block", "turn", "text", "role", "role_pred", "body", "marker"]
-    types = [conv_type, pa.int64(), pa.int64(), *[pa.string()] * 5]
+        states = shared.value.roles
+        found = trace(shared.value, shared.value.emits([r["code"] for r in rows]),
+                      rows[0]["entry"], rows[0]["leave"], rows[0]["pos"] == 0)
+        before = None if rows[0]["pos"] == 0 else states[rows[0]["entry"]].rstrip("+")
+        pieces, starts = [], 0
+        for r, p in zip(rows, found):
+            role, begins = states[p].rstrip("+"), not states[p].endswith("+")
+            marker, body = split_marker(r["line"] + "\n") if begins else ("none", r["line"])
+            if role != before or not pieces:
+                starts += role != before
+                label = r["label"] and r["label"].rstrip("+")
+                pieces.append(((r["key"], r["conv"], r["block"], starts, r["turn"], label, role,
+                                marker), []))
+            if marker == "none":
+                pieces[-1][1].append(r["line"])
+            elif body.strip():
+                pieces[-1][1].append(body.removesuffix("\n"))
+            before = role
+        return [(*head, "\n".join(some) if some else None) for head, some in pieces]
+
+    keys = ["key", "block"]
+    matrices = found.select(*keys, "pos", "code").repartition(*keys).sortWithinPartitions(
+        *keys, "pos").mapInArrow(
+        _by_key(keys, matrix, [*keys, "m"], [pa.string(), pa.int64(), pa.list_(pa.float64())]),
+        "key string, block long, m array<double>")
+    ends = matrices.repartition("key").sortWithinPartitions(*keys).mapInArrow(
+        _by_key(["key"], scan, [*keys, "entry", "leave"],
+                [pa.string(), pa.int64(), pa.int32(), pa.int32()]),
+        "key string, block long, entry int, leave int")
+    placed = found.join(ends, keys).repartition(*keys).sortWithinPartitions(*keys, "pos")
+    names = [*keys[:1], "conv", "block", "starts", "turn", "role", "role_pred", "marker", "body"]
+    types = [pa.string(), _arrow(kind), pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 4]
     return placed.mapInArrow(
-        _by_key(["conv", "block"], path, names, types),
-        f"conv {kind}, block long, turn long, text string, role string, role_pred string, "
-        "body string, marker string")
+        _by_key(keys, path, names, types),
+        f"key string, conv {kind}, block long, starts long, turn long, role string, "
+        "role_pred string, marker string, body string")
+
+
+def turns(pieces: DataFrame) -> DataFrame:
+    """One row a turn: key, seq (1, 2, ... in its transcript), head, body."""
+    begun = pieces.groupBy("key", "block").agg(F.max("starts").alias("n"))
+    earlier = Window.partitionBy("key").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    begun = begun.select("key", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
+    parts = pieces.join(begun, ["key", "block"]).withColumn("seq", F.col("off") + F.col("starts"))
+    bodies = F.array_sort(F.collect_list(F.when(
+        F.col("body").isNotNull(), F.struct("block", "body"))))
+    return parts.groupBy("key", "seq").agg(
+        F.min_by(F.struct("conv", "turn", "role", "role_pred", "marker"), "block").alias("head"),
+        F.array_join(F.transform(bodies, lambda x: x["body"]), "\n").alias("body"))
 
 
 def render(role: Column, body: Column) -> Column:
@@ -276,14 +368,19 @@ def render(role: Column, body: Column) -> Column:
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text",
                  role: str | None = "role", train: Column | None = None,
                  model: RoleModel | None = None) -> DataFrame:
-    """One row a message: conv_id, turn, role, role_pred, marker, rendered.
+    """One row a rendered turn: conv_id, turn, seq, role, role_pred, marker, rendered.
 
-    ``role`` is only read from the rows that ``train`` picks (a condition on the
-    column ``conv``); it is never an observation.
+    ``turn``, ``role`` and ``marker`` are those of the turn's first line; ``seq``
+    numbers the turns of a transcript.  ``role`` is the role of a row that is one
+    message, or for a row of several an array with the state of each line.  It is
+    only read from the rows that ``train`` picks (a condition on the column
+    ``conv``); it is never an observation.
     """
-    found = checkpointed(messages(rows, conv, turn, text, role))
+    found = checkpointed(lines(rows, conv, turn, text, role))
     if model is None:
         model = learn(found, F.lit(True) if train is None else train)
-    done = decode(found, model)
-    return done.select(F.col("conv").alias("conv_id"), "turn", "role", "role_pred", "marker",
-                       render(F.col("role_pred"), F.col("body")).alias("rendered"))
+    done = turns(checkpointed(decode(found, model)))
+    body = F.regexp_replace("body", r"^\s+|\s+$", "")
+    return done.select(F.col("head.conv").alias("conv_id"), "head.turn", "seq", "head.role",
+                       "head.role_pred", "head.marker",
+                       render(F.col("head.role_pred"), body).alias("rendered"))

@@ -283,3 +283,29 @@ def test_roles_of_the_held_out_fold(spark):
     assert sum(r.role == r.role_pred for r in held) / len(held) >= 0.95
     silent = [r for r in held if r.marker == "none"]
     assert sum(r.role == r.role_pred for r in silent) / len(silent) >= 0.85
+
+
+def test_a_transcript_in_one_text_is_cut_into_turns(spark, monkeypatch):
+    text = "User: a\nmore a\nAssistant: b\n\n### Instruction:\nc\nUser: d\nNote: e\n**AI:** f"
+    want = [("user", "a\nmore a"), ("assistant", "b"), ("user", "c\nd\nNote: e"), ("assistant", "f")]
+    schema = "conv_id long, turn long, role string, text string"
+    whole = [(1, 0, None, text)]
+    for block in (256, 2):
+        monkeypatch.setattr(chat_hmm, "BLOCK", block)
+        got = chat_hmm.format_chats(spark.createDataFrame(whole, schema)).orderBy("seq").collect()
+        assert [r.seq for r in got] == [1, 2, 3, 4]
+        assert [r.rendered for r in got] == [f"<|{r}|>\n{b}\n<|end|>\n" for r, b in want]
+    marked = [(3, 0, None, "User: a"), (3, 1, None, "Human: b"), (3, 2, None, "AI: c")]
+    got = chat_hmm.format_chats(spark.createDataFrame(marked, schema)).orderBy("seq").collect()
+    assert [r.rendered for r in got] == ["<|user|>\na\nb\n<|end|>\n", "<|assistant|>\nc\n<|end|>\n"]
+
+
+def test_turns_of_whole_transcripts_are_those_of_the_table(spark):
+    got = {(r.conv_id, r.seq): (r.role_pred, r.rendered)
+           for r in op10_chat_format(spark, SF_SMALL).where("marker != 'none'").collect()}
+    rows = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    seq, want = Counter(), {}
+    for r in rows:
+        seq[r.conv_id] += 1
+        want[r.conv_id, seq[r.conv_id]] = (r.role, f"<|{r.role}|>\n{r.text.strip()}\n<|end|>\n")
+    assert got and sum(want[k] == v for k, v in got.items()) >= 0.98 * len(got)
