@@ -25,8 +25,8 @@ changes numbers the turns, and the pieces that blocks hold of a turn are joined.
 Blocks are cut by the position of a line, which range-partitioned rows give, and
 not by turn numbers: missing or repeated turns fill no block beyond its size.
 
-Edge cases: null texts are empty messages; null conversation ids form one
-transcript; rows of equal turn number are ordered by text, null turns come
+Edge cases: null texts are empty messages; a row with a null conversation id is a
+transcript of its own; rows of equal turn number are ordered by text, null turns come
 first; exact repeats of a row are one; unknown roles train nothing; with nothing
 to learn from the smoothing alone decides (markers still count); an empty table
 gives an empty result; texts are kept whole but for markers and outer space.
@@ -217,8 +217,10 @@ def lines(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) ->
                          (F.col(role) if role else F.lit(None).cast("string")).alias("role"))
     kind, role_kind = (picked.schema[c].dataType.simpleString() for c in ("conv", "role"))
     whole = role_kind.startswith("array")
+    # nothing tells which rows without a conversation belong together
+    own = F.concat(F.lit("n"), F.md5(F.to_json(F.struct("turn", "text", "role")).cast("binary")))
     picked = picked.distinct().withColumn("key", F.coalesce(
-        F.concat(F.lit("c"), F.col("conv").cast("string")), F.lit("n")))
+        F.concat(F.lit("c"), F.col("conv").cast("string")), own))
     picked = picked.withColumn("n", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
     placed = positions(picked, ["turn", "text", "role"], ["key"], weight="n")
     names = ["key", "conv", "block", "pos", "turn", "line", "label", "code"]

@@ -309,3 +309,17 @@ def test_turns_of_whole_transcripts_are_those_of_the_table(spark):
         seq[r.conv_id] += 1
         want[r.conv_id, seq[r.conv_id]] = (r.role, f"<|{r.role}|>\n{r.text.strip()}\n<|end|>\n")
     assert got and sum(want[k] == v for k, v in got.items()) >= 0.98 * len(got)
+
+
+def test_rows_without_conversation_or_turn_fill_no_block(spark, monkeypatch):
+    monkeypatch.setattr(chat_hmm, "BLOCK", 8)
+    rows = [(None, i % 3, None, f"User: n{i}") for i in range(60)] + [
+        (7, None, None, f"{'User' if i % 2 else 'AI'}: {i:03}") for i in range(100)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat_hmm.lines(df, "conv_id", "turn", "text", "role")
+    assert max(r[0] for r in found.groupBy("key", "block").count().select("count").collect()) <= 8
+    got = chat_hmm.format_chats(df).collect()
+    lost = [r.rendered for r in got if r.conv_id is None]
+    assert sorted(lost) == sorted(f"<|user|>\nn{i}\n<|end|>\n" for i in range(60))
+    kept = "".join(r.rendered for r in got if r.conv_id == 7)
+    assert all(f"{i:03}" in kept for i in range(100))
