@@ -27,7 +27,8 @@ not by turn numbers: missing or repeated turns fill no block beyond its size.
 
 Edge cases: null texts are empty messages; a row with a null conversation id is a
 transcript of its own; rows of equal turn number are ordered by text, null turns come
-first; exact repeats of a row are one; unknown roles train nothing; with nothing
+first; exact repeats of a row with a conversation and a turn are one message,
+other repeats are messages of their own; unknown roles train nothing; with nothing
 to learn from the smoothing alone decides (markers still count); an empty table
 gives an empty result; texts are kept whole but for markers and outer space.
 """
@@ -218,11 +219,17 @@ def lines(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) ->
     kind, role_kind = (picked.schema[c].dataType.simpleString() for c in ("conv", "role"))
     whole = role_kind.startswith("array")
     # nothing tells which rows without a conversation belong together
-    own = F.concat(F.lit("n"), F.md5(F.to_json(F.struct("turn", "text", "role")).cast("binary")))
-    picked = picked.distinct().withColumn("key", F.coalesce(
+    own = F.concat(F.lit("n"), F.md5(F.to_json(F.struct("turn", "text", "role")).cast("binary")),
+                   F.lit("#"), F.col("copy"))
+    # a repeat at a known place is the same message, elsewhere it was said again
+    known_place = F.col("conv").isNotNull() & F.col("turn").isNotNull()
+    picked = picked.groupBy("conv", "turn", "text", "role").agg(F.count(F.lit(1)).alias("copies"))
+    picked = picked.withColumn("copy", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.when(known_place, F.lit(1).cast("long")).otherwise(F.col("copies")))))
+    picked = picked.drop("copies").withColumn("key", F.coalesce(
         F.concat(F.lit("c"), F.col("conv").cast("string")), own))
     picked = picked.withColumn("n", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
-    placed = positions(picked, ["turn", "text", "role"], ["key"], weight="n")
+    placed = positions(picked, ["turn", "text", "role", "copy"], ["key"], weight="n")
     names = ["key", "conv", "block", "pos", "turn", "line", "label", "code"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

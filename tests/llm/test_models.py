@@ -323,3 +323,13 @@ def test_rows_without_conversation_or_turn_fill_no_block(spark, monkeypatch):
     assert sorted(lost) == sorted(f"<|user|>\nn{i}\n<|end|>\n" for i in range(60))
     kept = "".join(r.rendered for r in got if r.conv_id == 7)
     assert all(f"{i:03}" in kept for i in range(100))
+
+
+def test_repeats_without_a_place_are_kept(spark):
+    rows = [(1, 0, None, "User: hi")] * 2 + [(2, None, None, "User: ok")] * 3 + [
+        (None, 0, None, "User: hi")] * 4
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_hmm.format_chats(df).collect()
+    body = {c: [r.rendered for r in got if r.conv_id == c] for c in (1, 2, None)}
+    assert body[1] == ["<|user|>\nhi\n<|end|>\n"] and body[2] == ["<|user|>\nok\nok\nok\n<|end|>\n"]
+    assert body[None] == ["<|user|>\nhi\n<|end|>\n"] * 4
