@@ -43,49 +43,101 @@ REGIONS = frozenset("article body div main section td".split())
 ENDS_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"},
                "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-#: Words of class and id names that mark page furniture.
+#: Class and id names that mark page furniture.
 FURNITURE = frozenset(
     "menu menubar nav navbar navigation breadcrumb breadcrumbs footer sidebar ad ads advert adverts "
-    "advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "notice notification alert popup modal overlay comment comments reply replies respond "
-    "discussion disqus share sharing social related recommended newsletter subscribe signup login "
-    "search pagination pager toolbar widget masthead skip copyright".split())
+    "advertisement advertising sponsor sponsored promo promotion cookie cookies consent popup modal "
+    "overlay comment comments disqus newsletter subscribe signup login pagination pager toolbar "
+    "masthead copyright".split())
+#: Names that articles use as well: what they hold decides.
+DOUBTFUL = frozenset(
+    "banner notice notification alert reply replies respond discussion share sharing social related "
+    "recommended search widget widgets skip".split())
+#: Words that a furniture name may be made up with; any other makes it a different name.
+BESIDE = frozenset(
+    "box list bar area block section link links button buttons form site page top bottom left right "
+    "main global primary secondary slot unit placeholder".split())
+ADS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog "
                   "dialog menu menubar toolbar".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+def furniture_words(value: str | None) -> set[str]:
+    """The furniture words of the names in a class or id that consist of nothing else.
+
+    sideBar, side-bar and primary_sidebar give sidebar; has-sidebar, related-work
+    and content-sidebar-wrap give nothing.
+    """
+    out: set[str] = set()
+    for token in (value or "").split():
+        parts = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower())
+        words, at = [], 0
+        while at < len(parts):
+            both = "".join(parts[at:at + 2])
+            pair = at + 1 < len(parts) and (both in FURNITURE or both in DOUBTFUL)
+            words.append(both if pair else parts[at])
+            at += 1 + pair
+        marks = {w for w in words if w in FURNITURE or w in DOUBTFUL or w == "header"}
+        if all(w in marks or w in BESIDE for w in words):
+            out |= marks
+    return out
+
+
 class _Element:
-    __slots__ = ("tag", "skip", "region")
+    __slots__ = ("tag", "skip", "region", "name", "link")
+
+    def __init__(self, tag: str, skip: bool, region: int, name: int, link: bool) -> None:
+        self.tag, self.skip, self.region, self.name, self.link = tag, skip, region, name, link
+
+
+class _Named:
+    """An element whose class or id is that of page furniture."""
+
+    __slots__ = ("parent", "sure", "article", "region", "holds_article", "holds_main")
 
-    def __init__(self, tag: str, skip: bool, region: int) -> None:
-        self.tag, self.skip, self.region = tag, skip, region
+    def __init__(self, parent: int, sure: bool, article: int, region: int) -> None:
+        self.parent, self.sure, self.article, self.region = parent, sure, article, region
+        self.holds_article = self.holds_main = False
+
+
+class _Line:
+    __slots__ = ("text", "tags", "skip", "region", "name", "links")
+
+    def __init__(self, text: str, tags: int, skip: bool, region: int, name: int, links: int) -> None:
+        self.text, self.tags, self.skip = text, tags, skip
+        self.region, self.name, self.links = region, name, links
 
 
 class PageLines(HTMLParser):
-    """Collects (text, tags, skipped, region) lines and the tree of regions."""
+    """Collects lines, the tree of regions and the elements named as furniture."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[_Element] = []
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.lines: list[_Line] = []
         self.parents, self.kinds = [-1], ["page"]  # of regions; 0 is the page
+        self.named: list[_Named] = []
+        self.free: list[int] = []  # outermost article and main regions under no such name
         self._text: list[str] = []
-        self._tags = 0
+        self._tags = self._links = 0
 
-    def _here(self) -> tuple[bool, int]:
-        return (self.open[-1].skip, self.open[-1].region) if self.open else (False, 0)
+    def _here(self) -> tuple[bool, int, int, bool]:
+        e = self.open[-1] if self.open else None
+        return (e.skip, e.region, e.name, e.link) if e else (False, 0, -1, False)
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self._text)).strip()
         if text:
-            self.lines.append((text, self._tags, *self._here()))
+            skip, region, name, _ = self._here()
+            self.lines.append(_Line(text, self._tags, skip, region, name, self._links))
             self._tags = 0
         self._text.clear()
+        self._links = 0
 
-    def _furniture(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        inside = any(e.tag in ("article", "main") for e in self.open)
+    def _hidden(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
         if tag in HIDDEN or (tag == "header" and not inside):
             return True
         if "hidden" in attrs or attrs.get("aria-hidden") == "true":
@@ -94,16 +146,21 @@ class PageLines(HTMLParser):
             return False
         if (attrs.get("role") or "").lower() in ROLES:
             return True
-        names = set()
-        for value in (attrs.get("class"), attrs.get("id")):
-            for token in (value or "").split():
-                # sideBar, side-bar and side_bar all give {side, bar, sidebar}
-                parts = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", token).lower())
-                names.update(parts)
-                names.update(a + b for a, b in zip(parts, parts[1:]))
+        names = furniture_words(attrs.get("class")) | furniture_words(attrs.get("id"))
         if tag == "article":
             return bool(names & {"comment", "comments", "reply"})
-        return bool(names & FURNITURE) or ("header" in names and not inside)
+        return tag == "a" and "skip" in names and (attrs.get("href") or "").startswith("#")
+
+    def _named_as(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool | None:
+        """True: named as furniture, False: perhaps, None: not."""
+        if tag in ("html", "body", "main", "article") or tag in HEADINGS:
+            return None
+        names = furniture_words(attrs.get("class")) | furniture_words(attrs.get("id"))
+        if tag not in BLOCKS:  # words of a sentence
+            return True if names & ADS else None
+        if names & FURNITURE or ("header" in names and not inside):
+            return True
+        return False if names & DOUBTFUL else None
 
     def _close(self, at: int) -> None:
         self._flush()
@@ -126,16 +183,31 @@ class PageLines(HTMLParser):
                 if name in REGIONS or name in ENDS_ITSELF.get(tag, ()):
                     break
             self._flush()
-        skip, region = self._here()
+        skip, region, name, link = self._here()
         if not skip and (attrs or tag in HIDDEN or tag == "header"):
-            skip = self._furniture(tag, dict(attrs))
-            if skip:
+            given = dict(attrs)
+            article = next((e.region for e in self.open if e.tag in ("article", "main")), -1)
+            skip = self._hidden(tag, given, article >= 0)
+            sure = None if skip else self._named_as(tag, given, article >= 0)
+            if skip or sure is not None:
                 self._flush()
+            if sure is not None:
+                self.named.append(_Named(name, sure, article, region))
+                name = len(self.named) - 1
+            link = link or (tag == "a" and "href" in given)
         if tag in REGIONS and not skip:
             self.parents.append(region)
             self.kinds.append(tag)
             region = len(self.kinds) - 1
-        self.open.append(_Element(tag, skip, region))
+            if tag in ("article", "main"):
+                at = name
+                while at >= 0:
+                    self.named[at].holds_article = True
+                    self.named[at].holds_main |= tag == "main"
+                    at = self.named[at].parent
+                if name < 0 and not any(e.tag in ("article", "main") for e in self.open):
+                    self.free.append(region)
+        self.open.append(_Element(tag, skip, region, name, link))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in VOID:
@@ -147,10 +219,9 @@ class PageLines(HTMLParser):
         self._tags += 1
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at].tag == tag:
-                if tag in BLOCKS or any(e.tag in BLOCKS or e.skip != self.open[at].skip
-                                        for e in self.open[at:]):
-                    self._close(at)
-                elif self.open[at].skip and not (at and self.open[at - 1].skip):
+                before = self.open[at - 1] if at else None
+                outside = (before.skip, before.name) if before else (False, -1)
+                if any(e.tag in BLOCKS or (e.skip, e.name) != outside for e in self.open[at:]):
                     self._close(at)
                 else:
                     del self.open[at:]
@@ -160,6 +231,8 @@ class PageLines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self._text.append(data)
+        if self.open and self.open[-1].link:
+            self._links += len(_SPACE.sub(" ", data).strip())
 
     def close(self) -> None:
         super().close()
@@ -187,8 +260,55 @@ def dense(ratios: np.ndarray) -> np.ndarray:
     return ratios > (order[at] + order[at + 1]) / 2
 
 
+def _up(mass: np.ndarray, parents: list[int]) -> np.ndarray:
+    """Every node's own mass and that of its children, which come after their parents."""
+    for i in range(len(mass) - 1, -1, -1):
+        if parents[i] >= 0:
+            mass[parents[i]] += mass[i]
+    return mass
+
+
+def _skip_named(page: PageLines, picked: np.ndarray, free: list[int]) -> None:
+    """Marks the lines of the named elements that are furniture indeed.
+
+    None is that holds an article or main (other than one beside which there is
+    a free one), or more than half of the dense text of the article it lies in,
+    or of a page without a free one.  A doubtful name counts if most of its text
+    is links, or outside articles if none of its text is dense.
+    """
+    k = len(page.named)
+    chars, links, rich = np.zeros(k), np.zeros(k), np.zeros(k)
+    by_region = np.zeros(len(page.kinds))
+    for line, yes in zip(page.lines, picked):
+        if line.skip:
+            continue
+        if yes:
+            by_region[line.region] += len(line.text)
+        if line.name >= 0:
+            chars[line.name] += len(line.text)
+            links[line.name] += line.links
+            rich[line.name] += len(line.text) if yes else 0
+    parents = [n.parent for n in page.named]
+    chars, links, rich = (_up(x, parents) for x in (chars, links, rich))
+    dense_text = _up(by_region, page.parents)
+    off = np.zeros(k, dtype=bool)
+    for i, n in enumerate(page.named):
+        if n.parent >= 0 and off[n.parent]:
+            off[i] = True
+            continue
+        if n.holds_main or (n.holds_article and not free):
+            continue
+        scope = n.article if n.article >= 0 else 0
+        if (n.article >= 0 or not free) and 2 * rich[i] > dense_text[scope]:
+            continue
+        off[i] = n.sure or 2 * links[i] > chars[i] or (n.article < 0 and not rich[i])
+    for line in page.lines:
+        if line.name >= 0 and off[line.name]:
+            line.skip = True
+
+
 def main_text(html: str | None, sigma: float = 1.0, share: float = 0.8) -> str:
-    """The blocks of the region that holds ``share`` of the dense text, joined by newlines."""
+    """The lines of the main region that aren't furniture, joined by newlines."""
     if not html:
         return ""
     page = PageLines()
@@ -197,15 +317,20 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.8) -> str:
     lines = page.lines
     if not lines:
         return ""
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
+    ratios = np.array([len(x.text) / max(1, x.tags) for x in lines])
     picked = dense(smooth(ratios, sigma))
+    spoken = {x.region for x in lines if not x.skip}
+    for r in range(len(page.kinds) - 1, 0, -1):
+        if r in spoken:
+            spoken.add(page.parents[r])
+    _skip_named(page, picked, [r for r in page.free if r in spoken])
     mass = np.zeros(len(page.kinds))
-    for (text, _, skip, region), yes in zip(lines, picked):
-        if yes and not skip:
-            mass[region] += len(text)
+    for line, yes in zip(lines, picked):
+        if yes and not line.skip:
+            mass[line.region] += len(line.text)
     if not mass.any():
-        for text, _, skip, region in lines:
-            mass[region] += 0 if skip else len(text)
+        for line in lines:
+            mass[line.region] += 0 if line.skip else len(line.text)
     for r in range(len(mass) - 1, 0, -1):  # children come after their parents
         mass[page.parents[r]] += mass[r]
     best = 0
@@ -219,7 +344,7 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.8) -> str:
     inside[best] = True
     for r in range(best + 1, len(mass)):
         inside[r] = inside[page.parents[r]]
-    return "\n".join(text for text, _, skip, region in lines if inside[region] and not skip)
+    return "\n".join(x.text for x in lines if inside[x.region] and not x.skip)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")

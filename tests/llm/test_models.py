@@ -333,3 +333,19 @@ def test_repeats_without_a_place_are_kept(spark):
     body = {c: [r.rendered for r in got if r.conv_id == c] for c in (1, 2, None)}
     assert body[1] == ["<|user|>\nhi\n<|end|>\n"] and body[2] == ["<|user|>\nok\nok\nok\n<|end|>\n"]
     assert body[None] == ["<|user|>\nhi\n<|end|>\n"] * 4
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<article><h2 id="related-work">Related</h2><p>text one</p><section id="discussion"><p>we discuss'
+     '</p></section><p class="notice">note</p></article>', "Related\ntext one\nwe discuss\nnote"),
+    ('<div class="content-sidebar-wrap"><article><p>text</p></article></div>', "text"),
+    ('<div class="has-sidebar"><p>text</p></div>', "text"),
+    ('<div class="post social-science"><article><p>text</p></article></div>', "text"),
+    ('<div class="sidebar"><main><p>text</p></main></div>', "text"),
+    ('<div class="overlay"><p>' + "long text " * 50 + '</p></div><div class="menu">m</div>',
+     ("long text " * 50).strip()),
+    ('<article><p>some code <span class="comment">kept</span> here</p><div class="ad-box">buy</div>'
+     '<div class="related"><a href="/x">one more</a> <a href="/y">two</a></div></article>',
+     "some code kept here")])
+def test_names_of_furniture_inside_articles(html, want):
+    assert html_ttr.main_text(html) == want
