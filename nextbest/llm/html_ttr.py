@@ -5,9 +5,11 @@ between block elements, with the number of tags met on the way, the containers
 they lie in and whether page furniture (menus, headers, footers, sidebars,
 notices, adverts, forms, comments) surrounds them.  The ratio of text to tags,
 smoothed over neighbouring lines with a Gaussian, splits the lines into two
-clusters by the threshold that separates them best; the dense ones vote for the
-region that holds the article.  Every line of that region that isn't furniture
-is returned, short ones too: a ratio alone would drop one-word paragraphs.
+clusters by the threshold that separates them best; the dense ones tell whether
+an element named as furniture is some.  The region that holds the article is
+that of the article and main elements, or what is left of the page without its
+lists of links.  Every line of that region that isn't furniture is returned,
+short ones too: a ratio alone would drop one-word paragraphs.
 
 Edge cases: null, empty and text-free pages give an empty text; unclosed and
 stray tags are tolerated; plain text without tags is one line; repeated pages
@@ -307,6 +309,74 @@ def _skip_named(page: PageLines, picked: np.ndarray, free: list[int]) -> None:
             line.skip = True
 
 
+def _link_runs(lines: list[_Line], own: list[int]) -> set[int]:
+    """Of a region's own lines, those in runs of at least two neighbours that are links."""
+    out: set[int] = set()
+    run: list[int] = []
+    for i in [*own, -1]:
+        if i >= 0 and (not run or i == run[-1] + 1) and 2 * lines[i].links > len(lines[i].text):
+            run.append(i)
+            continue
+        if len(run) > 1:
+            out.update(run)
+        run = [i] if i >= 0 and 2 * lines[i].links > len(lines[i].text) else []
+    return out
+
+
+def _region(page: PageLines, picked: np.ndarray, share: float) -> list[bool]:
+    """Which lines lie in the main region.
+
+    The outermost article and main elements are it, all together, if they hold
+    ``share`` of the text that isn't links.  Else the way goes down from the page
+    as long as all text lies in one child or in lists of links beside it; where
+    it ends everything is kept but the children that are lists of links.  A list
+    of links is mostly links and has no other dense line.
+    """
+    lines, k = page.lines, len(page.kinds)
+    chars, links, rich = np.zeros(k), np.zeros(k), np.zeros(k)
+    own: list[list[int]] = [[] for _ in range(k)]
+    for i, x in enumerate(lines):
+        if not x.skip:
+            own[x.region].append(i)
+            chars[x.region] += len(x.text)
+            links[x.region] += min(x.links, len(x.text))
+            rich[x.region] += bool(picked[i]) and 2 * x.links <= len(x.text)
+    chars, links, rich = (_up(x, page.parents) for x in (chars, links, rich))
+    children: list[list[int]] = [[] for _ in range(k)]
+    for r in range(1, k):
+        children[page.parents[r]].append(r)
+
+    def below(roots: list[int]) -> np.ndarray:
+        inside = np.zeros(k, dtype=bool)
+        inside[roots] = True
+        for r in range(1, k):
+            inside[r] |= inside[page.parents[r]]
+        return inside
+
+    plain = chars - links
+    top = [r for r in range(1, k) if page.kinds[r] in ("article", "main")]
+    outer = below(top)
+    top = [r for r in top if not outer[page.parents[r]]]
+    if chars[top].sum() > 0 and plain[top].sum() >= share * plain[0]:
+        inside = below(top)
+        return [bool(inside[x.region]) for x in lines]
+    at = 0
+    while True:
+        dropped = _link_runs(lines, own[at])
+        real = [i for i in own[at] if i not in dropped]
+        kids = [r for r in children[at] if chars[r] > 0 and (2 * links[r] <= chars[r] or rich[r])]
+        if real or len(kids) != 1:
+            break
+        at = kids[0]
+    said = sum(len(lines[i].text) for i in real)
+    inside = below([at])
+    if not (real or kids) or 2 * said >= plain[at]:  # nothing but links; an article's own text
+        return [bool(inside[x.region]) for x in lines]
+    inside = below(kids)
+    wanted = set(real)
+    return [bool(inside[x.region]) or i in wanted for i, x in enumerate(lines)]
+
+
 def main_text(html: str | None, sigma: float = 1.0, share: float = 0.8) -> str:
     """The lines of the main region that aren't furniture, joined by newlines."""
     if not html:
@@ -324,27 +394,8 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.8) -> str:
         if r in spoken:
             spoken.add(page.parents[r])
     _skip_named(page, picked, [r for r in page.free if r in spoken])
-    mass = np.zeros(len(page.kinds))
-    for line, yes in zip(lines, picked):
-        if yes and not line.skip:
-            mass[line.region] += len(line.text)
-    if not mass.any():
-        for line in lines:
-            mass[line.region] += 0 if line.skip else len(line.text)
-    for r in range(len(mass) - 1, 0, -1):  # children come after their parents
-        mass[page.parents[r]] += mass[r]
-    best = 0
-    while page.kinds[best] not in ("article", "main"):
-        inner = [r for r in range(best + 1, len(mass)) if page.parents[r] == best
-                 and mass[r] >= share * mass[0] and mass[r] > 0]
-        if not inner:
-            break
-        best = max(inner, key=lambda r: mass[r])
-    inside = np.zeros(len(mass), dtype=bool)
-    inside[best] = True
-    for r in range(best + 1, len(mass)):
-        inside[r] = inside[page.parents[r]]
-    return "\n".join(x.text for x in lines if inside[x.region] and not x.skip)
+    kept = _region(page, picked, share)
+    return "\n".join(x.text for x, yes in zip(lines, kept) if yes and not x.skip)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")

@@ -349,3 +349,23 @@ def test_repeats_without_a_place_are_kept(spark):
      "some code kept here")])
 def test_names_of_furniture_inside_articles(html, want):
     assert html_ttr.main_text(html) == want
+
+
+MENU = "".join(f'<a href="/{i}">page number {i}</a><br>' for i in range(9))
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<div><p>" + "x" * 900 + "</p></div><div><p>" + "y" * 100 + "</p></div>",
+     "x" * 900 + "\n" + "y" * 100),
+    ("<div><p>" + "x" * 900 + "</p></div><div>" + "<p>yes</p><li>no" * 200 + "</div>",
+     "x" * 900 + "\nyes\nno" * 200),
+    ("<article><p>" + "x" * 900 + "</p></article><article><p>small</p></article>",
+     "x" * 900 + "\nsmall"),
+    (f"<body><div>{MENU}</div><div><div><h1>T</h1><p>{'text ' * 20}</p></div><div>more</div></div>"
+     "</body>", "T\n" + ("text " * 20).strip() + "\nmore"),
+    ('<ul><li><a href="/a">one</a><li><a href="/b">two</a></ul><div>text</div><div>end</div>',
+     "text\nend"),
+    (f'<h1>T</h1><p>text with <a href="/">a link</a> and many more words</p><div>{MENU}</div>', None)])
+def test_regions_keep_what_is_no_link_list(html, want):
+    got = html_ttr.main_text(html)
+    assert got == want if want else got.startswith("T\ntext with a link and many")
