@@ -15,9 +15,13 @@ Rounding a rate into whole copies: every document gets ``floor(rate)``; the
 remaining words go, one copy each, to the documents with the smallest hashes of
 id and text, up to a threshold hash found from bucket sums.  What is missing
 then (less than one document) is filled by the largest documents that still
-fit, one for each source and round, and at last by one that overshoots if that
-comes nearer.  A source's decision is thus a threshold and a short list, applied
-to documents of any width by one join with the sources.
+fit, one for each source and round.  If ``FILL_ROUNDS`` of them don't do, as
+when the document at the threshold is a very long one, it is skipped: the same
+search for a threshold runs over the documents behind it that are no larger than
+the gap, then the largest are filled in again, until nothing left fits.  At last
+comes one document that overshoots if that is nearer.  A source's decision is
+thus a threshold, a short list and a few spans of hashes with a largest size,
+applied to documents of any width by one join with the sources.
 
 Hot sources: sums are pre-aggregated, only the one bucket of 4,096 that holds a
 source's threshold is ever sorted, and the table of sources is broadcast if its
@@ -112,31 +116,42 @@ def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     def beside(rows: DataFrame, small: DataFrame, on: list[str], by: str) -> DataFrame:
         return join_small(rows, small, on, known_bytes=most, salt_by=[by])
 
-    # the bucket in which the running sum of sizes passes the rest
-    bucket = F.substring(_HASH, 1, _BUCKET_DIGITS).alias("bucket")
-    sums = docs.groupBy(_KEY, bucket).agg(F.sum("size").alias("s"))
-    run = Window.partitionBy(_KEY).orderBy("bucket")
-    sums = sums.withColumn("upto", F.sum("s").over(run)).join(sources.select(_KEY, "rest"), _KEY)
-    edge = sums.where(F.col("upto") > F.col("rest") + TOL).groupBy(_KEY).agg(
-        F.min(F.struct("bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("edge"))
-    edge = checkpointed(edge.select(_KEY, "edge.bucket", "edge.before"))
-
-    # inside it, the last document that still fits
-    inside = beside(docs.withColumn("bucket", bucket),
-                    edge.join(sources.select(_KEY, "rest"), _KEY), [_KEY, "bucket"], _HASH)
-    order = Window.partitionBy(_KEY).orderBy(_HASH).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(order))
-    fits = inside.where(F.col("upto") <= F.col("rest") + TOL).groupBy(_KEY).agg(
-        F.max(_HASH).alias("last"), F.max("upto").alias("upto"))
+    def up_to_rest(rows: DataFrame, asked: DataFrame) -> DataFrame:
+        """_KEY, total, and of the documents in hash order: the bucket in which the running
+        sum of sizes passes ``rest``, the sum before it, the last document that still fits,
+        the sum up to it, and the document after it that doesn't (null: all fit)."""
+        bucket = F.substring(_HASH, 1, _BUCKET_DIGITS).alias("bucket")
+        sums = rows.groupBy(_KEY, bucket).agg(F.sum("size").alias("s"))
+        run = Window.partitionBy(_KEY).orderBy("bucket")
+        sums = sums.withColumn("upto", F.sum("s").over(run)).join(asked.select(_KEY, "rest"), _KEY)
+        over = F.col("upto") > F.col("rest") + TOL
+        edge = sums.groupBy(_KEY).agg(F.max("upto").alias("total"), F.min(F.when(over, F.struct(
+            "bucket", (F.col("upto") - F.col("s")).alias("before")))).alias("edge"))
+        edge = checkpointed(edge.select(_KEY, "total", "edge.bucket", "edge.before"))
+
+        # inside it, the last document that still fits
+        inside = beside(rows.withColumn("bucket", bucket), edge.where("bucket is not null").join(
+            asked.select(_KEY, "rest"), _KEY), [_KEY, "bucket"], _HASH)
+        order = Window.partitionBy(_KEY).orderBy(_HASH).rangeBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(order))
+        fit = F.col("upto") <= F.col("rest") + TOL
+        found = inside.groupBy(_KEY).agg(
+            F.max(F.when(fit, F.col(_HASH))).alias("last"),
+            F.max(F.when(fit, F.col("upto"))).alias("upto"),
+            F.min(F.when(~fit, F.col(_HASH))).alias("next"))
+        return edge.join(found, _KEY, "left")
+
     # hashes up to ``upto_hash`` are in; without an edge all are
-    state = sources.join(edge, _KEY, "left").join(fits, _KEY, "left").select(
+    state = sources.join(up_to_rest(docs, sources), _KEY, "left").select(
         *sources.columns,
         F.coalesce("last", "bucket", F.lit("g")).alias("upto_hash"),
         F.when(F.col("bucket").isNull(), 0.0).otherwise(
             F.col("rest") - F.coalesce("upto", "before")).alias("gap"),
         F.lit(None).cast("struct<size:long,hash:string>").alias("last_fill"),
-        F.array().cast("array<string>").alias("fills"))
+        F.array().cast("array<string>").alias("fills"),
+        F.array().cast("array<struct<after:string,upto:string,most:double>>").alias("spans"),
+        F.coalesce("next", F.lit("g")).alias("at"))
     state = checkpointed(state)
 
     # the largest document that fits what is missing, again and again
@@ -156,25 +171,66 @@ def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             F.coalesce("fill", "last_fill").alias("last_fill"),
             F.when(F.col("fill").isNull(), F.col("fills")).otherwise(
                 F.array_append("fills", F.col("fill.hash"))).alias("fills"),
-            F.col("fill").isNotNull().alias("__more")))
-
-    for _ in range(FILL_ROUNDS):
-        fits = beside(left, state.select(_KEY, "gap", "last_fill"), [_KEY], "doc").where(
-            (F.col("doc.size") <= F.col("gap") + TOL)
-            & (F.col("last_fill").isNull() | (F.col("doc") < F.col("last_fill"))))
-        state = add(fits.groupBy(_KEY).agg(F.max("doc").alias("fill")))
-        more = state.agg(F.max("__more")).first()[0]
-        state = state.drop("__more")
-        if not more:
-            break
-    over = beside(left, state.select(_KEY, "gap", "fills"), [_KEY], "doc").where(
+            "spans", "at", F.col("fill").isNotNull().alias("__more")))
+
+    def fill(rows: DataFrame) -> bool:
+        """Up to FILL_ROUNDS documents a source; True if that may not have been enough."""
+        nonlocal state
+        more = False
+        for _ in range(FILL_ROUNDS):
+            fits = beside(rows, state.select(_KEY, "gap", "last_fill"), [_KEY], "doc").where(
+                (F.col("doc.size") <= F.col("gap") + TOL)
+                & (F.col("last_fill").isNull() | (F.col("doc") < F.col("last_fill"))))
+            state = add(fits.groupBy(_KEY).agg(F.max("doc").alias("fill")))
+            more = state.agg(F.max("__more")).first()[0]
+            state = state.drop("__more")
+            if not more:
+                break
+        return bool(more)
+
+    more, units = fill(left), None
+    while more:
+        # the same threshold search behind the document that didn't fit; a hash once
+        most = 8 * measured_bytes(state)
+        if units is None:
+            units = checkpointed(left.groupBy(_KEY, F.col("doc.hash").alias(_HASH)).agg(
+                F.sum("doc.size").alias("size"), F.max("doc.size").alias("__row")))
+        asked = state.withColumn("rest", F.col("gap"))
+        behind = beside(units, asked.select(_KEY, "gap", "at", "fills"), [_KEY], _HASH).where(
+            (F.col(_HASH) > F.col("at")) & ~F.array_contains("fills", F.col(_HASH)))
+        fits = checkpointed(behind.where(F.col("__row") <= F.col("gap") + TOL).select(
+            _KEY, "size", _HASH))
+        span = F.struct(F.col("at").alias("after"), F.coalesce("last", "bucket", F.lit("g")).alias(
+            "upto"), (F.col("gap") + TOL).alias("most"))
+        found = state.join(up_to_rest(fits, asked), _KEY, "left")
+        state = checkpointed(found.select(
+            *sources.columns, "upto_hash",
+            (F.col("gap") - F.when(F.col("total").isNull(), 0).when(
+                F.col("bucket").isNull(), F.col("total")).otherwise(
+                F.coalesce("upto", "before"))).alias("gap"),
+            F.lit(None).cast("struct<size:long,hash:string>").alias("last_fill"), "fills",
+            F.when(F.col("total").isNull(), F.col("spans")).otherwise(
+                F.array_append("spans", span)).alias("spans"),
+            F.when(F.col("total").isNull(), F.col("at")).otherwise(
+                F.coalesce("next", F.lit("g"))).alias("at")))
+        behind = beside(units, state.select(_KEY, "at", "fills"), [_KEY], _HASH).where(
+            (F.col(_HASH) > F.col("at")) & ~F.array_contains("fills", F.col(_HASH)))
+        more = fill(checkpointed(behind.select(
+            _KEY, F.struct("size", F.col(_HASH).alias("hash")).alias("doc"))))
+    over = beside(left, state.select(_KEY, "gap", "fills", "spans"), [_KEY], "doc").where(
         (F.col("doc.size") > F.col("gap") + TOL) & (F.col("doc.size") < 2 * F.col("gap") - TOL)
-        & ~F.array_contains("fills", F.col("doc.hash")))
+        & ~F.array_contains("fills", F.col("doc.hash"))
+        & ~_in_spans(F.col("doc.hash"), F.col("doc.size")))
     state = add(over.groupBy(_KEY).agg(F.min("doc").alias("fill")))
     return state.select(*_MODEL)
 
 
-_MODEL = [_KEY, "source_size", "target", "rate", "copies", "upto_hash", "fills"]
+def _in_spans(digest: Column, size: Column) -> Column:
+    return F.exists("spans", lambda s: (digest > s["after"]) & (digest <= s["upto"])
+                    & (size <= s["most"]))
+
+
+_MODEL = [_KEY, "source_size", "target", "rate", "copies", "upto_hash", "fills", "spans"]
 
 
 def join_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -182,7 +238,8 @@ def join_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def copies_column() -> Column:
-    extra = (F.col(_HASH) <= F.col("upto_hash")) | F.array_contains("fills", F.col(_HASH))
+    extra = ((F.col(_HASH) <= F.col("upto_hash")) | F.array_contains("fills", F.col(_HASH))
+             | _in_spans(F.col(_HASH), F.col("size")))
     return F.col("copies") + F.when(extra, 1).otherwise(0)
 
 

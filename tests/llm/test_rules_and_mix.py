@@ -1,5 +1,6 @@
 """Quality rules, mixing and decontamination against DuckDB and plain versions."""
 
+import hashlib
 import math
 import random
 import re
@@ -171,6 +172,30 @@ def test_newton_reaches_every_ratio(spark):
         assert r.rate * 1000 == pytest.approx(r.target, rel=1e-9)
 
 
+def test_a_very_long_document_at_the_threshold_is_skipped(spark):
+    rng = random.Random(6)
+    sizes = {i: rng.randint(150, 400) for i in range(500)}
+    digest = lambda i, n: hashlib.md5(f"{i}\n{'w ' * n}".encode()).hexdigest()
+    at = {i: digest(i, n) for i, n in sizes.items()}
+    rest = (sum(sizes.values()) + 20_000) / 2
+
+    def gap(i):
+        return rest - sum(n for j, n in sizes.items() if at[j] < digest(i, 20_000))
+
+    long_one = next(i for i in range(1000, 9000) if 15_000 < gap(i) < 19_000)
+    rows = [(i, "w " * n, "a") for i, n in sizes.items()] + [(long_one, "w " * 20_000, "a")]
+    for n, source in enumerate("bc"):
+        rows += [(10_000 * (n + 1) + i, "w " * 500, source) for i in range(int(rest * 2) // 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [r for r in entropy_mix.mix_sources(docs).collect() if r.doc_id < 10_000]
+    missing = got[0].target - sum(r.taken for r in got)
+    out = [r["size"] for r in got if not r.copies]
+    assert len(out) > 100 and abs(missing) <= 0.01 * got[0].target
+    assert missing < min(out)
+    whole = entropy_mix.apply_mix(docs).where("source = 'a'").agg(F.sum(F.size(words(F.col("text")))))
+    assert whole.first()[0] == sum(r.taken for r in got)
+
+
 # --------------------------------------------------------------- decontamination
 
 def test_containment_of_odd_rows(spark):
