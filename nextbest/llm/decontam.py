@@ -14,6 +14,8 @@ shingles that occur in the document.
   items whose count is below the number that the threshold forces are dropped,
   and so are whole partitions of items larger than the document allows.
 * Survivors are verified by exact containment of the shingle strings.
+* Items of fewer words than a shingle are partitions of their own, one for each
+  number of words: windows of that length are looked up by hash and compared.
 
 Documents are neither shuffled nor collected.  Items are broadcast in blocks of
 at most ``block_shingles`` shingles; with more items than one block holds, the
@@ -22,8 +24,8 @@ documents are scanned once for each block, all against whole texts.
 Words are runs of letters and digits (any non-ASCII character counts as one)
 after lower-casing A-Z, so punctuation and case don't hide a copy.
 
-Edge cases: null and empty texts and items have no shingles and match nothing; a
-text shorter than a shingle is one shingle of all its words; repeated document
+Edge cases: null and empty texts and items have no shingles and match nothing; an
+item shorter than a shingle is one shingle of all its words; repeated document
 rows give repeated pairs, repeated items one pair each; an empty side gives an
 empty result; null ids are carried as they are.
 """
@@ -95,12 +97,23 @@ class ItemBlock:
         self.sets = [set(s) for _, s in items]
         self.need = [_at_least(threshold, len(s)) for s in self.sets]
         memory = WordHashes()
+        short: dict[int, dict[str, list[int]]] = {}  # words -> text -> items
+        for n, s in enumerate(self.sets):
+            if len(s) == 1 and (k := next(iter(s)).count(" ") + 1) < shingle_words:
+                short.setdefault(k, {}).setdefault(next(iter(s)), []).append(n)
+        self.short = {k: (np.unique(np.concatenate([
+            shingle_hashes(t.split(" "), k, memory) for t in texts])), texts)
+            for k, texts in short.items()}
+        apart = {n for texts in short.values() for some in texts.values() for n in some}
         parts: dict[int, int] = {}  # size partition -> sketch size
         for s in self.sets:
             top = 1 << (len(s) - 1).bit_length()  # largest set of the partition
             parts[top] = max(sketch, top - _at_least(threshold, top) + 1)
         keys, owners, self.sketch_need = [], [], []
         for n, s in enumerate(self.sets):
+            if n in apart:
+                self.sketch_need.append(1)
+                continue
             hashes = sorted(int(shingle_hashes(x.split(" "), shingle_words, memory)[0]) for x in s)
             k = min(len(hashes), parts[1 << (len(s) - 1).bit_length()])
             # of n shingles n - need may be absent, all of them from the sketch
@@ -111,13 +124,31 @@ class ItemBlock:
         self.keys = np.array(keys, dtype=np.uint64)[order]
         self.owners = np.array(owners, dtype=np.int64)[order]
         self.sketch_need = np.array(self.sketch_need, dtype=np.int64)
-        self.smallest = min(self.need, default=0)
+        self.smallest = min((c for n, c in enumerate(self.need) if n not in apart), default=0)
 
     def search(self, text: str | None, memory: WordHashes) -> list[tuple[int, int, int]]:
         """(item's position, shingles found, shingles) of the items that the text contains."""
         found = content_words(text)
+        return self._search_short(found, memory) + self._search_long(found, memory)
+
+    def _search_short(self, found: list[str], memory: WordHashes) -> list[tuple[int, int, int]]:
+        """Items of fewer words than a shingle, by windows of their own length."""
+        hits: set[int] = set()
+        for k, (keys, texts) in self.short.items():
+            if len(found) < k:
+                continue
+            hashes = shingle_hashes(found, k, memory)
+            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            _, first = np.unique(hashes, return_index=True)
+            for i in first[keys[at[first]] == hashes[first]].tolist():
+                hits.update(texts.get(" ".join(found[i:i + k]), ()))
+        return [(n, 1, 1) for n in sorted(hits)]
+
+    def _search_long(self, found: list[str], memory: WordHashes) -> list[tuple[int, int, int]]:
+        if not len(self.keys):
+            return []
         hashes = shingle_hashes(found, self.size, memory)
-        if len(hashes) < self.smallest or not len(self.keys):
+        if len(hashes) < self.smallest:
             return []
         at = np.searchsorted(self.keys, hashes)
         hit = np.unique(hashes[self.keys[np.minimum(at, len(self.keys) - 1)] == hashes])

@@ -237,3 +237,16 @@ def test_containment_equals_brute_force_around_the_threshold(spark):
         spark.createDataFrame(docs, "doc_id long, text string"),
         spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == want and 10 < len(got)
+
+
+def test_items_shorter_than_a_shingle_are_found_inside_longer_texts(spark):
+    docs = spark.createDataFrame(
+        [(1, "x " * 50 + "Hi, there" + " y" * 50), (2, "there hi"), (3, "a b c d e f"), (4, "hi there you"),
+         (5, None), (6, "hith ere")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "hi there"), (2, "b c d e"), (3, "F"), (4, "a b c d e"), (5, "d f")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_common, r.n_shingles)
+           for r in decontam.find_contained(docs, items).collect()}
+    assert got == {(1, 1, 1, 1), (4, 1, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (3, 4, 1, 1)}
+    left = decontam.drop_contaminated(docs, items).collect()
+    assert sorted(r.doc_id for r in left) == [2, 5, 6]
