@@ -12,12 +12,13 @@ from nextbest.llm import (
     entropy_mix_query,
     model_queries,
     simhash_query,
+    spelling_query,
     token_query,
     weak_rules_query,
 )
 
 _MODULES = (model_queries, simhash_query, entropy_mix_query, token_query, weak_rules_query,
-            decontam_query, chat_query)
+            decontam_query, chat_query, spelling_query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
