@@ -10,15 +10,17 @@ from nextbest.llm import (
     chat_query,
     decontam_query,
     entropy_mix_query,
+    fingerprint_query,
     model_queries,
     simhash_query,
     spelling_query,
     token_query,
     weak_rules_query,
+    whitening_query,
 )
 
 _MODULES = (model_queries, simhash_query, entropy_mix_query, token_query, weak_rules_query,
-            decontam_query, chat_query, spelling_query)
+            decontam_query, chat_query, spelling_query, fingerprint_query, whitening_query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
