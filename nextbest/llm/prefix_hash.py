@@ -76,11 +76,12 @@ class PrefixHashes:
         self.sums = sums
         self.n = len(sums[0]) - 1
         self._windows: tuple[np.ndarray, np.ndarray] | None = None
+        self._places: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def of(cls, text: str) -> "PrefixHashes":
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        points = points.astype(np.int64) + 1
+        points = np.add(points, 1, dtype=np.int64)
         sums = []
         for powers in _POWERS:
             table, _ = powers.upto(len(points))
@@ -111,6 +112,38 @@ class PrefixHashes:
             out = out & ((a - b) % powers.modulus == 0)
         return out
 
+    def _same_one(self, at: int, other: "PrefixHashes", its: int, length: int) -> bool:
+        """``same`` for one pair, in Python's numbers: far cheaper than arrays of one."""
+        for own, more, powers in zip(self.sums, other.sums, _POWERS):
+            table = powers.tables[0]
+            a = (own.item(at + length) - own.item(at)) * table.item(its)
+            b = (more.item(its + length) - more.item(its)) * table.item(at)
+            if (a - b) % powers.modulus:
+                return False
+        return True
+
+    def extension(self, at: int, other: "PrefixHashes", its: int, leftwards: bool = False) -> int:
+        """Longest common extension of one pair of positions: doubling lengths, then bisection."""
+        most = min(at, its) if leftwards else min(self.n - at, other.n - its)
+        for powers in _POWERS:
+            powers.upto(max(self.n, other.n))
+
+        def holds(k: int) -> bool:
+            return self._same_one(at - k, other, its - k, k) if leftwards else \
+                self._same_one(at, other, its, k)
+
+        good, step = 0, 1
+        while good < most and holds(min(good + step, most)):
+            good, step = min(good + step, most), 2 * step
+        bad = min(good + step, most + 1)
+        while bad - good > 1:
+            middle = (good + bad) // 2
+            if holds(middle):
+                good = middle
+            else:
+                bad = middle
+        return good
+
     def _search(self, holds, most: np.ndarray) -> np.ndarray:
         """The largest length up to ``most`` at which each pair still agrees."""
         low, high = np.zeros_like(most), most.copy()
@@ -145,6 +178,14 @@ class PrefixHashes:
             self._windows = found
         return found
 
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first start) of the compared windows, hashes ascending."""
+        if self._places is None:
+            at, h = self.windows()
+            values, first = np.unique(h, return_index=True)
+            self._places = values, at[first]
+        return self._places
+
     def adopt_windows(self, whole: "PrefixHashes", shared: int) -> None:
         """The windows, given those of a text with the same first ``shared`` code points."""
         at, h = whole.windows()
@@ -166,16 +207,18 @@ def _covered(spans: list[tuple[np.ndarray, np.ndarray]]) -> int:
 
 def _extensions(a: PrefixHashes, b: PrefixHashes, prefix: int, suffix: int):
     """Spans of ``a``, between its common prefix and suffix, that occur anywhere in ``b``."""
+    nothing = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     at, h = a.windows()
-    between = (at >= prefix) & (at + WINDOW <= a.n - suffix)
-    at, h = at[between], h[between]
-    b_at, b_h = b.windows()
-    if not len(at) or not len(b_at):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    values, first = np.unique(b_h, return_index=True)
+    low, high = np.searchsorted(at, [prefix, a.n - suffix - WINDOW + 1])
+    at, h = at[low:high], h[low:high]
+    values, starts = b.places()
+    if not len(at) or not len(values):
+        return nothing
     place = np.minimum(np.searchsorted(values, h), len(values) - 1)
     hit = values[place] == h
-    at, its = at[hit], b_at[first[place[hit]]]
+    if not hit.any():
+        return nothing
+    at, its = at[hit], starts[place[hit]]
     right = a.common_prefix(at, b, its)
     true = right >= WINDOW
     at, its, right = at[true], its[true], right[true]
@@ -187,12 +230,16 @@ def likeness(a: PrefixHashes, b: PrefixHashes) -> float:
     """Share of both texts' code points that lie in common spans."""
     if a.n == b.n and (a.n == 0 or a.fingerprint() == b.fingerprint()):
         return 1.0
-    prefix = int(a.common_prefix(0, b, 0)[0])
-    suffix = min(int(a.common_suffix(a.n, b, b.n)[0]), min(a.n, b.n) - prefix)
+    prefix = a.extension(0, b, 0)
+    suffix = min(a.extension(a.n, b, b.n, leftwards=True), min(a.n, b.n) - prefix)
     covered = 0
     for x, y in ((a, b), (b, a)):
-        ends = np.array([0, x.n - suffix]), np.array([prefix, suffix])
-        covered += _covered([ends, _extensions(x, y, prefix, suffix)])
+        found = _extensions(x, y, prefix, suffix)
+        if len(found[0]):
+            ends = np.array([0, x.n - suffix]), np.array([prefix, suffix])
+            covered += _covered([ends, found])
+        else:
+            covered += prefix + suffix
     return covered / (a.n + b.n)
 
 

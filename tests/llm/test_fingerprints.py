@@ -85,6 +85,7 @@ def test_spans_and_extensions_are_those_of_slices():
         while k < min(p, q) and a[p - 1 - k] == b[q - 1 - k]:
             k += 1
         assert l == k
+        assert x.extension(p, y, q) == r and x.extension(p, y, q, leftwards=True) == l
 
 
 def test_joined_arrays_are_those_of_the_joined_text():
