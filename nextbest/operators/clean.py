@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from nextbest.functions import scalars as X
 from nextbest.operators.joins import join_small
 from nextbest.session import ensure_checkpoint_dir
-from nextbest.operators.ranking import (as_number, exact_median, group_key,
+from nextbest.operators.ranking import (as_number, exact_median, group_key, halfway,
                                        lower_median, middle)
 
 UNKNOWN = "UNKNOWN"
@@ -166,7 +166,7 @@ def group_median_fill(df: DataFrame, col: str, group: str) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     found = middle(long, ["whole", "g"], "__key").where(F.col("n") > 0).select(
         "whole", group_key(["g"]).alias("__gk"),
-        ((F.col("low") + F.col("high")) / 2).alias("__gmed")).checkpoint(eager=True)
+        halfway("low", "high", dtype).alias("__gmed")).checkpoint(eager=True)
     overall = found.where("whole").first()
     keyed = df.withColumn("__gk", F.to_json(F.struct(F.col(group).alias("g"))))
     joined = join_small(keyed, found.where("not whole").drop("whole"), ["__gk"], "left")
