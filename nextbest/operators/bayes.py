@@ -15,69 +15,121 @@ Unseen ``(a, v, p)`` contribute nothing (the inner join), and the smoothing
 denominator is ``f + 1``; both are the reference semantics, which is why
 ``pyspark.ml.classification.NaiveBayes`` is not a drop-in replacement.
 
+Forms of the model
+------------------
+*Vectors* (``fit_basket`` with ``products``, ``fit_snapshot``): one row per
+``(attr, value)`` with one likelihood column per product of the catalogue, which
+is schema-like (a snapshot has a flag column for each product).  A customer's
+fact meets one row instead of one per product, the rows are summed elementwise,
+and the facts go through one shuffle, on the customer, after a partial sum.
+*Long* (catalogues unknown or beyond ``MAX_COLUMNS`` products): one row per
+``(attr, value, product)``.  Both give the same rows.
+
 Scale notes
 -----------
-* Training facts are reduced to ``(customer, product, n)`` before any join, so a
-  customer with a third of all orders still yields at most one row per product.
+* Training facts are reduced to one row per customer before any join, so a
+  customer with a third of all orders is still one row.  That table is written
+  once (reliable checkpoint); everything else derives from it without being
+  persisted, and tables are measured only when a join needs their size.
 * Attributes with few values ("narrow") give a small likelihood table; it is
   broadcast if its measured bytes allow, else joined with salted keys.
   Attributes with one value per customer ("wide", e.g. the customer id itself)
   are joined by an ordinary shuffle on ``(attr, value)``: each key holds one
-  customer.  Their likelihoods are derived from the counts when they are needed
-  and never stored.
-* Copies of a scoring fact become one fact with a multiplicity before any join,
-  on every path.
+  customer.  Their likelihoods are derived from the counts when they are needed.
+* On shuffled paths copies of a scoring fact become one fact with a
+  multiplicity before the join.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import math
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nextbest.functions import scalars as X
 from nextbest.operators.features import attr_long
 from nextbest.operators.joins import BROADCAST_BYTES, DEFAULT_SALTS, join_small, measured_bytes
+from nextbest.session import ensure_checkpoint_dir
 
 SCORE_DECIMALS = 9
+#: Products that a row may have a column for; generated code grows with them.
+MAX_COLUMNS = 128
+
+
+def _written(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+class _Measured:
+    """A small table that is written and measured once, when a join first asks for it."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df, self._held, self._bytes = df, None, 0
+
+    def get(self) -> tuple[DataFrame, int]:
+        if self._held is None:
+            self._held = _written(self.df)
+            self._bytes = measured_bytes(self._held)
+        return self._held, self._bytes
+
+
+@dataclass(frozen=True)
+class Vectors:
+    """Likelihood vectors: ``(attr, value, c0.., l0..)``, column k for ``products[k]``.
+
+    ``c`` is the count, ``l`` the log-likelihood (null where the count is 0).
+    """
+
+    products: list[str]
+    log_prior: list[float | None]   # None: nobody owns the product
+    narrow: DataFrame
+    wide: DataFrame | None = None
+
+    def long(self, rows: DataFrame) -> DataFrame:
+        """``(attr, value, product, c, ll)`` of the observed combinations."""
+        entries = F.array(*[F.struct(F.lit(p).alias("product"), F.col(f"c{k}").alias("c"),
+                                     F.col(f"l{k}").alias("ll"))
+                            for k, p in enumerate(self.products)])
+        return rows.select("attr", "value", F.inline(F.filter(entries, lambda e: e["c"] > 0)))
 
 
 @dataclass(frozen=True)
 class NaiveBayesModel:
-    """Fitted tables.
+    """Fitted tables; none is persisted.
 
     prior       ``(product, f, n, prior, log_prior)``
     narrow      ``(attr, value, product, c, ll)`` of the attributes with few values
-    wide        the same of the attributes with one value per customer, or None;
-                never stored, derived from the counts
+    wide        the same of the attributes with one value per customer, or None
+    vectors     the same likelihoods as vectors, or None
     """
 
     prior: DataFrame
     narrow: DataFrame
     wide: DataFrame | None = None
     wide_attrs: tuple[str, ...] = ()
-    prior_bytes: int | None = None      # measured by ``checked``
-    narrow_bytes: int | None = None
-    held: tuple[DataFrame, ...] = ()
+    vectors: Vectors | None = None
+    _small: dict[str, _Measured] = field(default_factory=dict, repr=False, compare=False)
 
     @property
     def likelihood(self) -> DataFrame:
         return self.narrow if self.wide is None else self.narrow.unionByName(self.wide)
 
-    def checked(self) -> "NaiveBayesModel":
-        """Persist and measure the small tables once, so scoring decides its joins
-        without further jobs."""
-        prior = self.prior.persist(StorageLevel.MEMORY_AND_DISK)
-        narrow = self.narrow.persist(StorageLevel.MEMORY_AND_DISK)
-        return replace(self, prior=prior, narrow=narrow, prior_bytes=measured_bytes(prior),
-                       narrow_bytes=measured_bytes(narrow), held=(*self.held, prior, narrow))
-
-    def release(self) -> None:
-        """Unpersist what the fit holds; results not yet computed are computed anew."""
-        for df in self.held:
-            df.unpersist()
+    def measured(self, name: str) -> tuple[DataFrame, int]:
+        """``prior``, ``narrow`` or ``vectors`` (the narrow ones, likelihoods only), written
+        once, and its bytes."""
+        if name not in self._small:
+            if name == "vectors":
+                columns = [f"l{k}" for k in range(len(self.vectors.products))]
+                df = self.vectors.narrow.select("attr", "value", *columns)
+            elif name == "narrow":
+                df = self.narrow.select("attr", "value", "product", "ll")
+            else:
+                df = self.prior.select("product", "log_prior")
+            self._small[name] = _Measured(df)
+        return self._small[name].get()
 
 
 # --------------------------------------------------------------------------- counts
@@ -152,33 +204,107 @@ def nb_likelihood(attr_freq: DataFrame, freq: DataFrame, max_bytes: int = BROADC
         F.ln((F.col("c") + F.lit(1.0)) / (F.col("f") + F.lit(1.0))).alias("ll"))
 
 
+# --------------------------------------------------------------------------- vectors
+
+def owned_counts(basket: DataFrame, products: list[str], customer: str = "customer",
+                 product: str = "product") -> DataFrame:
+    """``(customer, c0..)``: instances of the customer that own each product of the catalogue.
+
+    ``basket`` holds distinct ``(instance, customer, product)`` facts.  One
+    partial aggregate: a map task emits at most one row per customer.
+    """
+    own = [F.count(F.when(F.col(product) == p, 1)).alias(f"c{k}") for k, p in enumerate(products)]
+    return basket.groupBy(F.col(customer).alias("customer")).agg(*own)
+
+
+def counts_long(counts: DataFrame, products: list[str]) -> DataFrame:
+    """``owned_counts`` rows as ``(customer, product, n)``; keeps their partitioning."""
+    entries = F.array(*[F.struct(F.lit(p).alias("product"), F.col(f"c{k}").alias("n"))
+                        for k, p in enumerate(products)])
+    return counts.select("customer", F.inline(F.filter(entries, lambda e: e["n"] > 0)))
+
+
+def count_vectors(counts: DataFrame, attributes: DataFrame, attr_cols: list[str],
+                  n_products: int, customer: str = "customer") -> DataFrame:
+    """``(attr, value, c0..)`` for attributes that belong to the customer.
+
+    The join keeps one row per customer; the unpivot to ``attr`` comes after it
+    and its rows are summed in the map tasks.
+    """
+    own = [f"c{k}" for k in range(n_products)]
+    joined = counts.join(attributes.select(customer, *attr_cols), customer)
+    return attr_long(joined, own, attr_cols).groupBy("attr", "value").agg(
+        *[F.sum(c).alias(c) for c in own])
+
+
+def likelihood_vectors(by_value: DataFrame, freq: list[int]) -> DataFrame:
+    """``(attr, value, c0.., l0..)`` with ``l = ln((c + 1) / (f + 1))``, null for a count of 0."""
+    own = [f"c{k}" for k in range(len(freq))]
+    return by_value.select("attr", "value", *own, *[
+        F.when(F.col(c) > 0, F.ln((F.col(c) + F.lit(1.0)) / F.lit(f + 1.0))).alias(f"l{k}")
+        for k, (c, f) in enumerate(zip(own, freq))])
+
+
+def _frequencies(spark: SparkSession, products: list[str], freq: list[int]) -> DataFrame:
+    """``(product, f)`` of the owned products, from scalars."""
+    rows = [F.struct(F.lit(p).alias("product"), F.lit(f).cast("bigint").alias("f"))
+            for p, f in zip(products, freq) if f > 0]
+    if not rows:
+        return spark.createDataFrame([], "product string, f long")
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def _vector_model(spark: SparkSession, products: list[str], freq: list[int], n: int, narrow: DataFrame,
+                  wide: DataFrame | None, wide_attrs: tuple[str, ...]) -> NaiveBayesModel:
+    """From counts by value; ``freq`` and ``n`` are scalars of the catalogue's size."""
+    prior = product_prior(_frequencies(spark, products, freq), n)
+    vectors = Vectors(list(products), [math.log(f / n) if f > 0 else None for f in freq],
+                      likelihood_vectors(narrow, freq),
+                      None if wide is None else likelihood_vectors(wide, freq))
+    return NaiveBayesModel(prior, vectors.long(vectors.narrow),
+                           None if wide is None else vectors.long(vectors.wide), wide_attrs, vectors)
+
+
 # --------------------------------------------------------------------------- fit
 
 def fit_basket(instances: DataFrame, basket: DataFrame, attributes: DataFrame,
                attr_cols: list[str], id_attr: str | None = None,
                customer: str = "customer", product: str = "product",
-               max_bytes: int = BROADCAST_BYTES) -> tuple[NaiveBayesModel, DataFrame]:
+               max_bytes: int = BROADCAST_BYTES, products: list[str] | None = None
+               ) -> tuple[NaiveBayesModel, DataFrame]:
     """Fit from long purchase facts and per-customer attributes.
 
     ``instances``  one row per training instance (only counted)
     ``basket``     distinct ``(instance, customer, product)`` owned facts
     ``attributes`` wide ``(customer, attr_cols...)``, one row per customer
     ``id_attr``    name under which the customer id is also an attribute
+    ``products``   the catalogue (text), if known: it has every product of the facts
 
-    Returns the model and the persisted ``(customer, product, n)`` counts,
-    which are also the purchase history.
+    Returns the model and the ``(customer, product, n)`` counts, which are also
+    the purchase history.  The counts are written once; with a catalogue that
+    and the catalogue's totals are the only jobs.
     """
+    attributes = attributes.withColumnRenamed(customer, "customer")
+    wide_attrs = (id_attr,) if id_attr else ()
+    if products is not None and len(products) <= MAX_COLUMNS:
+        own = [f"c{k}" for k in range(len(products))]
+        counts = _written(owned_counts(basket, products, customer, product))
+        totals = counts.agg(*[F.sum(c).alias(c) for c in own]).select(
+            "*", total_instances(instances).scalar().alias("n")).first()
+        by_value = count_vectors(counts, attributes, attr_cols, len(products))
+        by_id = counts.select(F.lit(id_attr).alias("attr"), X.id_text("customer").alias("value"),
+                              *own) if id_attr else None
+        model = _vector_model(basket.sparkSession, products, [totals[c] or 0 for c in own],
+                              totals["n"], by_value, by_id, wide_attrs)
+        return model, counts_long(counts, products)
     counts = customer_product_counts(basket, customer, product)
-    counts = counts.withColumnsRenamed({customer: "customer", product: "product"})
-    counts.persist(StorageLevel.MEMORY_AND_DISK)
-    prior = product_prior(product_frequency(counts), total_instances(instances).scalar())
-    prior.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = _written(counts.withColumnsRenamed({customer: "customer", product: "product"}))
+    prior = _written(product_prior(product_frequency(counts), total_instances(instances).scalar()))
     freq, size = prior.select("product", "f"), measured_bytes(prior)
-    rows = attr_frequency(counts, attributes.withColumnRenamed(customer, "customer"), attr_cols)
+    rows = attr_frequency(counts, attributes, attr_cols)
     narrow = nb_likelihood(rows, freq, max_bytes, size)
     wide = nb_likelihood(id_frequency(counts, id_attr), freq, max_bytes, size) if id_attr else None
-    model = NaiveBayesModel(prior, narrow, wide, (id_attr,) if id_attr else (), held=(counts,))
-    return model.checked(), counts
+    return NaiveBayesModel(prior, narrow, wide, wide_attrs), counts
 
 
 def fit_snapshot(snapshot: DataFrame, attr_cols: list[str], product_cols: list[str],
@@ -191,24 +317,27 @@ def fit_snapshot(snapshot: DataFrame, attr_cols: list[str], product_cols: list[s
     ``(attr, value)`` with one ``sum`` per product.  A constant attribute rides
     along whose only group is the whole table: it holds the number of instances
     and the product frequencies, so one read of the snapshot gives everything.
-    The catalogue comes from the schema; nothing is collected to the driver.
+    The catalogue comes from the schema; its totals alone reach the driver.
     """
-    flags = [F.coalesce(X.flag(p), F.lit(0)).alias(p) for p in product_cols]
+    own = [f"c{k}" for k in range(len(product_cols))]
+    flags = [F.coalesce(X.flag(p), F.lit(0)).alias(c) for p, c in zip(product_cols, own)]
     rows = snapshot.select(*attr_cols, *flags).withColumn(_ALL, F.lit(1))
-    by_value = attr_long(rows, product_cols, [*attr_cols, _ALL]).groupBy("attr", "value").agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(p).cast("bigint").alias(p) for p in product_cols])
-    by_value.persist(StorageLevel.MEMORY_AND_DISK)
-    total = by_value.where(F.col("attr") == _ALL)
-    freq = total.unpivot(["__n"], product_cols, "product", "f").where(F.col("f") > 0)
-    prior = product_prior(freq, F.col("__n")).persist(StorageLevel.MEMORY_AND_DISK)
-    attr_freq = (by_value.where(F.col("attr") != _ALL).drop("__n")
-                 .unpivot(["attr", "value"], product_cols, "product", "c")
-                 .where(F.col("c") > 0))
-    lik = nb_likelihood(attr_freq, prior.select("product", "f"), max_bytes)
+    by_value = _written(attr_long(rows, own, [*attr_cols, _ALL]).groupBy("attr", "value").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(c).cast("bigint").alias(c) for c in own]))
+    total = by_value.where(F.col("attr") == _ALL).first()
+    freq, n = ([total[c] for c in own], total["__n"]) if total else ([0] * len(own), 0)
+    counted = by_value.where(F.col("attr") != _ALL).drop("__n")
     is_wide = F.col("attr").isin(list(wide_attrs))
+    if len(product_cols) <= MAX_COLUMNS:
+        return _vector_model(snapshot.sparkSession, list(product_cols), freq, n,
+                             counted.where(~is_wide) if wide_attrs else counted,
+                             counted.where(is_wide) if wide_attrs else None, tuple(wide_attrs))
+    prior = product_prior(_frequencies(snapshot.sparkSession, product_cols, freq), n)
+    named = counted.withColumnsRenamed(dict(zip(own, product_cols)))
+    attr_freq = named.unpivot(["attr", "value"], product_cols, "product", "c").where(F.col("c") > 0)
+    lik = nb_likelihood(attr_freq, prior.select("product", "f"), max_bytes)
     return NaiveBayesModel(prior, lik.where(~is_wide) if wide_attrs else lik,
-                           lik.where(is_wide) if wide_attrs else None, tuple(wide_attrs),
-                           held=(by_value,)).checked()
+                           lik.where(is_wide) if wide_attrs else None, tuple(wide_attrs))
 
 
 _ALL = "__all"
@@ -240,10 +369,10 @@ def nb_match(model: NaiveBayesModel, facts: DataFrame, max_bytes: int = BROADCAS
     facts = facts.groupBy("customer", "attr", "value").agg(F.count(F.lit(1)).alias("__m"))
     is_wide = F.col("attr").isin(wide) if wide else F.lit(False)
     weighted = (F.col("ll") * F.col("__m")).alias("ll")
-    matched = join_small(facts.where(~is_wide).repartition("customer"),
-                         model.narrow.select("attr", "value", "product", "ll"), ["attr", "value"],
+    narrow, size = model.measured("narrow")
+    matched = join_small(facts.where(~is_wide).repartition("customer"), narrow, ["attr", "value"],
                          max_bytes=max_bytes, salts=salts, salt_by=["customer", "attr"],
-                         known_bytes=model.narrow_bytes).select("customer", "product", weighted)
+                         known_bytes=size).select("customer", "product", weighted)
     if model.wide is not None:
         own = facts.where(is_wide).join(model.wide.select("attr", "value", "product", "ll"),
                                         ["attr", "value"])
@@ -258,18 +387,57 @@ def nb_score(model: NaiveBayesModel, facts: DataFrame, max_bytes: int = BROADCAS
 
     A customer on several scoring rows gets each row's likelihoods and the
     prior once.  Scores are rounded to 9 decimals so ranks do not depend on
-    the order of the floating-point sum.
+    the order of the floating-point sum.  The rows are partitioned by customer.
     """
+    if model.vectors is not None:
+        return _vector_score(model, facts, max_bytes, salts)
     summed = (nb_match(model, facts, max_bytes, salts)
               .groupBy("customer", "product").agg(F.sum("ll").alias("ll_sum")))
-    prior = model.prior.select("product", "log_prior")
+    prior, size = model.measured("prior")
     scored = join_small(summed, prior, ["product"], max_bytes=max_bytes,
-                        salts=salts, salt_by=["customer"], known_bytes=model.prior_bytes)
+                        salts=salts, salt_by=["customer"], known_bytes=size)
     return scored.select(
         "customer", "product",
         F.round(F.col("ll_sum") + F.col("log_prior"), SCORE_DECIMALS).alias("score"))
 
 
+def _vector_score(model: NaiveBayesModel, facts: DataFrame, max_bytes: int, salts: int) -> DataFrame:
+    """One joined row per fact; vectors summed in the map tasks, then once per customer.
+
+    A repeated fact adds its vector again.  Vectors that may not be broadcast
+    meet the facts in a shuffle, where copies of a fact are one row.
+    """
+    v = model.vectors
+    columns = [f"l{k}" for k in range(len(v.products))]
+    is_wide = F.col("attr").isin(list(model.wide_attrs)) if model.wide_attrs else F.lit(False)
+    narrow, size = model.measured("vectors")
+
+    def weighted(rows: DataFrame) -> DataFrame:
+        return rows.select("customer", *[(F.col(c) * F.col("__m")).alias(c) for c in columns])
+
+    def collapsed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("customer", "attr", "value").agg(F.count(F.lit(1)).alias("__m"))
+
+    if size <= max_bytes:
+        matched = facts.where(~is_wide).join(F.broadcast(narrow), ["attr", "value"]).select(
+            "customer", *columns)
+    else:
+        matched = weighted(join_small(collapsed(facts.where(~is_wide)), narrow, ["attr", "value"],
+                                      max_bytes=max_bytes, salts=salts,
+                                      salt_by=["customer", "attr"], known_bytes=size))
+    if v.wide is not None:
+        own = collapsed(facts.where(is_wide)).join(
+            v.wide.select("attr", "value", *columns), ["attr", "value"])
+        matched = matched.unionByName(weighted(own))
+    summed = matched.groupBy("customer").agg(*[F.sum(c).alias(c) for c in columns])
+    scores = F.array(*[
+        F.struct(F.lit(p).alias("product"),
+                 F.round(F.col(c) + F.lit(lp).cast("double"), SCORE_DECIMALS).alias("score"))
+        for p, c, lp in zip(v.products, columns, v.log_prior)])
+    return summed.select("customer", F.inline(F.filter(
+        scores, lambda s: s["score"].isNotNull())))
+
+
 def posterior_prob(scores: DataFrame) -> DataFrame:
     """Add ``posterior = exp(score)`` (unnormalised, may underflow to 0)."""
     return scores.withColumn("posterior", F.exp("score"))

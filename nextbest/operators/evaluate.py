@@ -10,12 +10,14 @@ is ``(customer, item)``.  For customer ``u``:
 Customers are paired by id (not by line position), and every customer of the
 evaluated population counts in the mean, including ones with no actual items
 or no prediction.  Every group is a customer's list: at most ``k`` predicted
-rows, at most the catalogue of actual rows.
+rows, at most the catalogue of actual rows.  The metric meets the two lists of a
+customer in one row and folds over them; ``precision_at_rank`` gives the single
+steps as rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_K = 7
@@ -51,19 +53,33 @@ def average_precision(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_
     ``population`` defaults to the customers present in ``actual``; give the
     id column of actual records to count customers with an empty actual list.
     """
-    pop = (population if population is not None else actual).select("customer").distinct()
     listed = actual.select("customer", "item")
-    n_act = (listed if count_repeats else listed.distinct()).groupBy("customer").agg(
-        F.count(F.lit(1)).alias("n_actual"))
-    summed = (precision_at_rank(predicted, actual, k).groupBy("customer")
-              .agg(F.sum("precision").alias("psum")))
-    return (pop.join(n_act, "customer", "left").join(summed, "customer", "left")
-            .select("customer",
-                    F.coalesce("n_actual", F.lit(0)).cast("bigint").alias("n_actual"),
-                    F.when(F.coalesce("n_actual", F.lit(0)) == 0, F.lit(0.0))
-                    .otherwise(F.coalesce("psum", F.lit(0.0))
-                               / F.least(F.col("n_actual"), F.lit(k)))
-                    .alias("ap")))
+    n_act = F.count(F.lit(1)) if count_repeats else F.size(F.collect_set(F.struct("item")))
+    bought = listed.groupBy("customer").agg(F.collect_set("item").alias("__actual"),
+                                            n_act.alias("n_actual"))
+    top = predicted.where(F.col("rank") <= k).groupBy("customer").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("__top"))
+    rows = bought
+    if population is not None:
+        rows = population.select("customer").distinct().join(bought, "customer", "left")
+    n = F.coalesce("n_actual", F.lit(0))
+    return rows.join(top, "customer", "left").select(
+        "customer", n.cast("bigint").alias("n_actual"),
+        F.when(n == 0, F.lit(0.0)).otherwise(
+            F.coalesce(precision_sum("__top", "__actual"), F.lit(0.0)) / F.least(n, F.lit(k)))
+        .alias("ap"))
+
+
+def precision_sum(top: str, actual: str) -> Column:
+    """Sum of hits(i) / i over the hits of a list of ``(rank, item)`` in rank order.
+
+    A hit is an item of ``actual`` at its first place in the list; the fold runs
+    inside the row, over at most k entries.
+    """
+    hits = F.filter(top, lambda x, i: F.array_contains(actual, x["item"]) & ~F.exists(
+        F.slice(top, F.lit(1), i), lambda y: y["item"] == x["item"]))
+    terms = F.transform(hits, lambda x, i: (i + 1) / x["rank"])
+    return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
 
 
 def map_at_k(predicted: DataFrame, actual: DataFrame, k: int = DEFAULT_K,

@@ -5,6 +5,9 @@ over it measures its bytes; above the bound the join shuffles with salted keys,
 so that one hot key (say an attribute value shared by a third of all customers)
 is spread over ``salts`` tasks instead of landing in one.  Both ways compute the
 same rows from the same inputs.
+
+``split_join`` is for two large sides: only the keys that are hot, found by one
+pre-aggregated count, leave the ordinary shuffle join.
 """
 
 from __future__ import annotations
@@ -12,9 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nextbest.session import ensure_checkpoint_dir
+
 #: Bytes of a table that may be broadcast.
 BROADCAST_BYTES = 64 << 20
 DEFAULT_SALTS = 32
+#: Rows of one key that a shuffle join may bring into one task.
+HOT_ROWS = 2_000_000
 _FIELD_BYTES = 16
 
 _SALT = "__salt"
@@ -65,3 +72,32 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     if size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salts, salt_by)
+
+
+def split_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+               hot_rows: int = HOT_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``inner`` or ``left`` join of two large sides, safe against hot keys of ``big``.
+
+    Keys with more than ``hot_rows`` rows are counted first (one row per key and
+    map task is shuffled); there are at most rows / ``hot_rows`` of them.  Their
+    rows meet the matching rows of ``small`` without a shuffle if those rows'
+    measured bytes allow, else salted; all others meet in a plain shuffle join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
+    hot = big.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(
+        F.col("__rows") > hot_rows).drop("__rows")
+    ensure_checkpoint_dir(big.sparkSession)
+    hot = hot.checkpoint(eager=True)
+    if hot.isEmpty():
+        return big.join(small, on, how)
+    size = measured_bytes(hot)
+
+    def part(df: DataFrame, kind: str) -> DataFrame:
+        if size <= max_bytes:
+            return df.join(F.broadcast(hot), on, kind)
+        return df.join(hot, on, kind)
+
+    rest = part(big, "left_anti").join(part(small, "left_anti"), on, how)
+    few = part(small, "left_semi").checkpoint(eager=True)
+    return rest.unionByName(join_small(part(big, "left_semi"), few, on, how, max_bytes))

@@ -25,7 +25,8 @@ def fit_standin(t: S.Tables, cutoff: str = S.TRAIN_CUTOFF) -> Fitted:
     orders = S.orders_between(t, None, cutoff)
     facts = S.basket(t, orders)
     attrs = S.customer_attributes(t)
-    model, counts = bayes.fit_basket(orders, facts, attrs, S.ATTR_COLS, S.ID_ATTR)
+    model, counts = bayes.fit_basket(orders, facts, attrs, S.ATTR_COLS, S.ID_ATTR,
+                                     products=S.brand_catalogue(t))
     return Fitted(model, counts, attrs, orders)
 
 
@@ -58,15 +59,18 @@ def recommend_and_evaluate(t: S.Tables, k: int = recommend.DEFAULT_K,
     hist = history(fitted)
     ranked = recommend.recommend_topk(
         recommend.all_candidates(score_standin(fitted), hist), k)
-    ranked.persist()
     actual = S.actual_purchases(t, hist, cutoff, actual_end)
-    predicted = ranked.select("customer", "rank", F.col("product").alias("item"))
-    m = evaluate.map_at_k(predicted, actual.select("customer", F.col("product").alias("item")), k)
-    stats = ranked.agg(F.countDistinct("customer").cast("bigint").alias("c"),
-                       F.count(F.lit(1)).cast("bigint").alias("r"))
-    return m.select(stats.select("c").scalar().alias("n_ranked_customers"),
-                    stats.select("r").scalar().alias("n_recommendations"),
-                    F.col("n_customers").alias("n_evaluated"), "map_at_k")
+    # one row per customer with both lists: counts and metric come from one pass
+    listed = ranked.groupBy("customer").agg(F.array_sort(F.collect_list(
+        F.struct("rank", F.col("product").alias("item")))).alias("top"))
+    bought = actual.groupBy("customer").agg(F.collect_set("product").alias("bought"))
+    n = F.size("bought")
+    ap = F.when(F.col("bought").isNotNull(), F.coalesce(
+        evaluate.precision_sum("top", "bought"), F.lit(0.0)) / F.least(n, F.lit(k)))
+    return listed.join(bought, "customer", "full").agg(
+        F.count("top").alias("n_ranked_customers"),
+        F.coalesce(F.sum(F.size("top")), F.lit(0)).cast("bigint").alias("n_recommendations"),
+        F.count("bought").alias("n_evaluated"), F.avg(ap).alias("map_at_k"))
 
 
 @dataclass
@@ -96,11 +100,10 @@ def recommend_from_files(spark, train_csv: str, test_csv: str, folder: str,
                for name, path in (("train", train_csv), ("test", test_csv))}
     coded = [x for x in c.categorical if x in cleaned["train"].columns]
     codes = encode.category_dictionary(cleaned["train"], coded, [c.snapshot_date, c.customer])
-    codes.persist()
+    codes = codes.checkpoint()
     for name, df in cleaned.items():
         table = encode.encode_categories(df, codes, coded, unseen_code=0).drop(*c.dropped_late)
         records.write_table(table, f"{folder}/{name}")
-    codes.unpersist()
     train, test = (spark.read.parquet(f"{folder}/{name}") for name in ("train", "test"))
 
     products = clean.select_by_regex(train, c.product_pattern).columns
@@ -111,7 +114,6 @@ def recommend_from_files(spark, train_csv: str, test_csv: str, folder: str,
     hist = owned.select(F.col(c.customer).alias("customer"), "product").distinct()
     ranked = recommend.recommend_topk(recommend.all_candidates(scores, hist), k)
     records.write_ranked_list(recommend.collect_predictions(ranked), f"{folder}/recommendations")
-    model.release()
 
     bought = features.purchase_long(test, [c.customer], products).select(
         F.col(c.customer).alias("customer"), "product").distinct()

@@ -207,9 +207,15 @@ def q_format_ranked_list(spark, sf):
     return records.format_ranked_list(_topk_records(spark, sf), keep_id=True)
 
 
-@register("sort_records", _RECORD_SQL + "select customer, value from rec order by customer")
+@register("sort_records", Q.model_ctes() + """
+select customer, cast(customer as varchar) || ',' || string_agg(product, ' ' order by product)
+       as value
+from hist group by customer order by customer""")
 def q_sort_records(spark, sf):
-    recs = _topk_records(spark, sf)
+    """Records of what each customer owned before the cut-off, in id order."""
+    t = S.Tables(spark, sf)
+    facts = S.purchase_lines(t, S.orders_between(t, None, S.TRAIN_CUTOFF))
+    recs = features.purchase_lists(facts)
     text = records.format_ranked_list(recs.select("customer", "items"))
     parsed = text.select(F.split("value", ",", 2).getItem(0).alias("customer"), "value")
     return recommend.sort_records(parsed).select(

@@ -31,17 +31,36 @@ def null_tokens(df: DataFrame, cols: list[str] | None = None,
     return df.select(*[fix(c) if c in targets else F.col(c) for c in df.columns])
 
 
+BAD_RECORD = "_bad_record"
+
+
 def read_snapshot_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-                      tokens: list[str] = NA_TOKENS) -> DataFrame:
+                      tokens: list[str] = NA_TOKENS, bad_records: str = "pad") -> DataFrame:
     """CSV with a header and quoted fields; every column read as text, NA tokens nulled.
 
     Reading as text and converting afterwards (``functions.scalars``) keeps bad
     values from failing the scan under ANSI mode.  Give ``schema`` to skip
     inference of column names on very large inputs.
+
+    ``bad_records`` says what a line with too few or too many fields does:
+    ``pad`` fills with nulls and cuts, ``keep`` does so and puts the line into
+    the column ``_bad_record`` (null on good lines), ``raise`` fails the scan.
     """
+    if bad_records not in ("pad", "keep", "raise"):
+        raise ValueError(f"bad_records must be 'pad', 'keep' or 'raise', not {bad_records!r}")
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    if bad_records != "pad":
+        # fields are only counted if all columns are parsed
+        named = schema or reader.csv(path).schema
+        reader = reader.option("columnPruning", False).option(
+            "mode", "FAILFAST" if bad_records == "raise" else "PERMISSIVE")
+        schema = StructType(list(named.fields))
+        if bad_records == "keep":
+            schema = schema.add(BAD_RECORD, "string")
+            reader = reader.option("columnNameOfCorruptRecord", BAD_RECORD)
     df = reader.schema(schema).csv(path) if schema else reader.csv(path)
-    return null_tokens(df, tokens=tokens)
+    return null_tokens(df, [c for c, t in df.dtypes if t == "string" and c != BAD_RECORD],
+                       tokens=tokens)
 
 
 def parse_lines(lines: DataFrame, names: list[str], header_marker: str | None = None,
@@ -92,18 +111,20 @@ def format_ranked_list(records: DataFrame, id_col: str = "customer", items: str
 
 
 def write_ranked_list(records: DataFrame, path: str, id_col: str = "customer",
-                      items: str = "items", single_file: bool = False) -> None:
-    """Write sorted ranked-list text.  ``single_file`` is for small outputs only."""
+                      items: str = "items", single_file: bool = False,
+                      mode: str = "overwrite") -> None:
+    """Write sorted ranked-list text.  ``single_file`` is for small outputs only;
+    ``mode="error"`` refuses a folder that exists."""
     ordered = records.orderBy(F.col(id_col).cast("bigint"))
     if single_file:
         ordered = ordered.coalesce(1)
-    format_ranked_list(ordered, id_col, items).write.mode("overwrite").text(path)
+    format_ranked_list(ordered, id_col, items).write.mode(mode).text(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> None:
-    """Table sink; CSV gets a header line."""
-    w = df.write.mode("overwrite")
+                partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+    """Table sink; CSV gets a header line.  ``mode="error"`` refuses a folder that exists."""
+    w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":

@@ -2,13 +2,16 @@
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from nextbest.functions import scalars as X
 from nextbest.operators import bayes, clean, encode, features, recommend
+from nextbest.operators.joins import split_join
 from nextbest.operators.ranking import exact_median, lower_median, positions
+from nextbest.plans import pipeline as P
 from nextbest.plans import standins as S
 from nextbest.sources import records
 
@@ -46,7 +49,6 @@ def test_missing_matches_missing_and_int_matches_double(spark):
         model, bayes.scoring_facts(score, ["a"])).collect()}
     assert got == {(1, "p"), (2, "p")}
     assert [(r["product"], r.f, r.n) for r in model.prior.collect()] == [("p", 2, 2)]
-    model.release()
 
 
 def test_text_ids_meet_their_own_history(spark):
@@ -180,3 +182,87 @@ def test_write_table_round_trip(spark, tmp_path):
     records.write_table(df, f"{tmp_path}/c", "csv")
     assert sorted((r.k, r.t) for r in records.read_snapshot_csv(spark, f"{tmp_path}/c").collect()) \
         == [("1", "a,b"), ("2", None)]
+
+
+def test_vector_and_long_models_agree(spark, monkeypatch):
+    """The same prior, likelihoods and scores, with repeated scoring facts, broadcast or not."""
+    t = S.Tables(spark, SF_SMALL)
+    orders, attrs = S.orders_between(t, None, S.TRAIN_CUTOFF), S.customer_attributes(t)
+    facts, brands = S.basket(t, orders), S.brand_catalogue(t)
+
+    def rows(df):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+                      for r in df.collect())
+
+    scored = bayes.scoring_facts(attrs, S.ATTR_COLS, S.ID_ATTR)
+    scored = scored.unionByName(scored.where("customer % 3 = 0"))
+    long, counts = bayes.fit_basket(orders, facts, attrs, S.ATTR_COLS, S.ID_ATTR)
+    vector, own = bayes.fit_basket(orders, facts, attrs, S.ATTR_COLS, S.ID_ATTR, products=brands)
+    assert long.vectors is None and vector.vectors is not None
+    assert rows(counts) == rows(own.select(*counts.columns))
+    assert rows(long.prior) == rows(vector.prior)
+    assert rows(long.likelihood) == rows(vector.likelihood)
+    want = rows(bayes.nb_score(long, scored))
+    assert want == rows(bayes.nb_score(vector, scored))
+    assert want == rows(bayes.nb_score(vector, scored, max_bytes=0, salts=3))
+    monkeypatch.setattr(bayes, "MAX_COLUMNS", 3)
+    assert bayes.fit_basket(orders, facts, attrs, S.ATTR_COLS, products=brands)[0].vectors is None
+
+
+def test_scores_shuffle_the_facts_once_and_nothing_stays_persisted(spark):
+    t = S.Tables(spark, SF_SMALL)
+    fitted = P.fit_standin(t)
+    narrow = bayes.scoring_facts(fitted.attributes, S.ATTR_COLS)
+    plan = bayes.nb_score(fitted.model, narrow)._jdf.queryExecution().executedPlan().toString()
+    # the narrow facts meet a broadcast row each and are summed before their only exchange
+    # (the other one collapses copies of the id facts)
+    assert len(re.findall(r"Exchange hashpartitioning\(customer#\d+L?, \d+\)", plan)) == 1
+    P.recommend_standin(t).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_encoding_joins_only_large_columns(spark, monkeypatch):
+    rows = [(i, f"v{i % 40}", f"w{i % 7}" if i % 5 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "d int, a string, b string")
+    codes = encode.category_dictionary(df.where("d < 200"), ["a", "b"], ["d"])
+    test = df.unionByName(spark.createDataFrame([(-1, "new", "w1")], df.schema))
+    nested = encode.encode_categories(test, codes, ["a", "b"], unseen_code=0)
+    assert "Join" not in nested._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(str, nested.collect()))
+    monkeypatch.setattr(encode, "NESTED_VALUES", 10)
+    mixed = encode.encode_categories(test, codes, ["a", "b"], unseen_code=0)
+    assert mixed._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    assert sorted(map(str, mixed.collect())) == want
+    assert sorted(map(str, encode.encode_categories(
+        test, codes, ["a", "b"], unseen_code=0, max_bytes=0).collect())) == want
+    none = encode.encode_categories(test, codes.limit(0), ["a", "b"])
+    assert {(r.a, r.b) for r in none.collect()} == {(None, None)}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_joined_apart(spark, how):
+    big = spark.createDataFrame([(i % 50 if i % 3 else 7, i) for i in range(600)] + [(None, -1)],
+                                "k int, v int")
+    small = spark.createDataFrame([(i, f"s{i}") for i in range(0, 40)] + [(7, "again")], "k int, s string")
+    want = sorted(map(str, big.join(small, ["k"], how).collect()))
+    for limit in (0, 1 << 20):
+        got = split_join(big, small, ["k"], how, hot_rows=100, max_bytes=limit)
+        assert sorted(map(str, got.select("k", "v", "s").collect())) == want
+    assert sorted(map(str, split_join(big, small, ["k"], how).collect())) == want
+
+
+def test_lines_with_a_wrong_number_of_fields(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('a,b\n1,2\n3\n4,5,6\n"x,y",NA\n')
+    path = f"{tmp_path}/s.csv"
+    want = {("1", "2"), ("3", None), ("4", "5"), ("x,y", None)}
+    assert {tuple(r) for r in records.read_snapshot_csv(spark, path).collect()} == want
+    kept = records.read_snapshot_csv(spark, path, bad_records="keep")
+    assert {(r.a, r.b) for r in kept.collect()} == want
+    assert {r["_bad_record"] for r in kept.collect()} == {None, "3", "4,5,6"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.read_snapshot_csv(spark, path, bad_records="raise").collect()
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    assert records.read_snapshot_csv(spark, f"{tmp_path}/good.csv", bad_records="raise").count() == 1
+    records.write_table(kept, f"{tmp_path}/out")
+    with pytest.raises(Exception, match="(?i)exists"):
+        records.write_table(kept, f"{tmp_path}/out", mode="error")
