@@ -13,7 +13,8 @@ every task.  EM then runs on that small table.
 Edge cases: null and empty texts have no words, zero statistics and fail the
 base rule; a repeated row gets the same verdict each time; a null doc_id is
 kept as null; an empty table gives an empty result.  Extra columns of the input
-pass through ``add_statistics``/``weak_quality`` and are left out of the query.
+pass through ``weak_quality`` (but for those named like one of its own) and
+``keep_good`` (all of them), and are left out of the query.
 """
 
 from __future__ import annotations
@@ -30,14 +31,15 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
-#: Bits of a packed (window hash, position) number that hold the position.
-_POS_BITS = 20
+#: Low bits of a packed (window hash, position) number, which hold the position: any array's.
+_POS_BITS = 31
 
-_W, _N, _S, _P, _LINES = "__w", "__n", "__s", "__p", "__lines"
+_W, _H, _N, _C, _P, _LINES = "__w", "__h", "__n", "__c", "__p", "__lines"
 
 
-def _window_hash(w: Column, i: Column) -> Column:
-    return F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+def _window_hash(h: Column, i: Column) -> Column:
+    """Of the three words from ``i``, whose own hashes are ``h``."""
+    return F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2))
 
 
 def _same_window(w: Column, a: Column, b: Column) -> Column:
@@ -45,6 +47,14 @@ def _same_window(w: Column, a: Column, b: Column) -> Column:
             & (F.get(w, a + 2) == F.get(w, b + 2)))
 
 
+def _with_equal_neighbour(rows: Column, key) -> Column:
+    """The entries of a sorted array whose ``key`` equals that of the entry before or after."""
+    def beside(x: Column, j: Column) -> Column:
+        return F.coalesce(key(x) == key(F.get(rows, j + 1)), F.lit(False)) \
+            | F.coalesce(key(x) == key(F.get(rows, j - 1)), F.lit(False))
+    return F.filter(rows, beside)
+
+
 def _count_chars(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
@@ -53,31 +63,41 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the text statistics that the rules read.
 
     n_repeat_words counts word positions covered by 3-word windows that occur
-    at least twice in the text.  Window hashes are packed with their positions
-    into one long and sorted as primitives; neighbours with equal hash bits are
-    compared word by word, so a chance collision adds nothing.  Texts of more
-    than 2^20 words are sorted as (hash, position) pairs instead.
+    at least twice in the text.  Each window's hash and position are packed into
+    one long and sorted as primitives.  Windows whose hash bits meet another's
+    are the candidates; if all that stand side by side with equal bits are equal
+    word by word, they are the repeated ones, else (hashes that collide may
+    stand in between) the candidates are put in order by their words.  So the
+    count is exact for texts of any size and for any hashes.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     mask = (1 << _POS_BITS) - 1
     df = docs.withColumn(_W, words(F.col(text)))
-    df = df.withColumn(_N, F.size(_W))
+    df = df.withColumn(_N, F.size(_W)).withColumn(_H, F.transform(_W, lambda w: F.xxhash64(w)))
+    w = F.col(_W)
     at = F.when(F.col(_N) >= 4, F.sequence(F.lit(0), F.col(_N) - 3)).otherwise(
         F.array().cast("array<int>"))
-    small = F.col(_N) <= (1 << _POS_BITS)
-    # order: equal windows stand side by side, by ascending position
-    packed = F.transform(at, lambda i: F.shiftleft(F.shiftright(
-        _window_hash(F.col(_W), i), _POS_BITS), _POS_BITS).bitwiseOR(i.cast("long")))
-    pairs = F.transform(at, lambda i: F.struct(_window_hash(F.col(_W), i).alias("h"),
-                                               i.alias("p")))
-    df = df.withColumn(_S, F.when(small, F.transform(
-        F.sort_array(packed), lambda x: x.bitwiseAND(F.lit(mask)).cast("int"))).otherwise(
-        F.transform(F.sort_array(pairs), lambda x: x["p"])))
-    repeated = F.filter(F.transform(F.col(_S), lambda p, j: F.when(
-        F.coalesce(_same_window(F.col(_W), p, F.get(F.col(_S), j + 1)), F.lit(False))
-        | F.coalesce(_same_window(F.col(_W), p, F.get(F.col(_S), j - 1)), F.lit(False)), p)),
-        lambda p: p.isNotNull())
-    df = df.withColumn(_P, F.sort_array(repeated))
+    packed = F.sort_array(F.transform(at, lambda i: F.shiftleft(F.shiftright(
+        _window_hash(F.col(_H), i), _POS_BITS), _POS_BITS).bitwiseOR(i.cast("long"))))
+    df = df.withColumn(_P, packed)
+
+    def bits(x: Column) -> Column:
+        return F.shiftright(x, _POS_BITS)
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(mask)).cast("int")
+
+    df = df.withColumn(_C, _with_equal_neighbour(F.col(_P), bits))
+    c = F.col(_C)
+    differ = F.filter(c, lambda x, j: F.coalesce(
+        (bits(x) == bits(F.get(c, j + 1)))
+        & ~_same_window(w, place(x), place(F.get(c, j + 1))), F.lit(False)))
+    spelled = F.sort_array(F.transform(c, lambda x: F.struct(
+        F.concat_ws(" ", F.get(w, place(x)), F.get(w, place(x) + 1), F.get(w, place(x) + 2))
+        .alias("window"), place(x).alias("at"))))
+    df = df.withColumn(_P, F.when(F.size(differ) == 0, F.sort_array(
+        F.transform(c, place))).otherwise(F.sort_array(F.transform(
+            _with_equal_neighbour(spelled, lambda x: x["window"]), lambda x: x["at"]))))
     covered = F.aggregate(
         F.transform(F.col(_P), lambda p, j: F.least(
             F.lit(3), F.coalesce(F.get(F.col(_P), j + 1) - p, F.lit(3)))),
@@ -92,12 +112,11 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             .withColumn("n_dup_lines", (F.size(_LINES) - F.size(F.array_distinct(_LINES)))
                         .cast("long"))
             .withColumn("n_repeat_next", F.size(F.filter(
-                F.transform(F.col(_W), lambda x, j: x == F.get(F.col(_W), j + 1)),
-                lambda same: same)).cast("long"))
+                w, lambda x, j: F.coalesce(x == F.get(w, j + 1), F.lit(False)))).cast("long"))
             .withColumn("n_upper", _count_chars(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long"))
             .withColumn("n_marks", _count_chars(t, "!?").cast("long"))
             .withColumn("n_stops", _count_chars(t, ".").cast("long"))
-            .drop(_W, _N, _S, _P, _LINES))
+            .drop(_W, _H, _N, _C, _P, _LINES))
 
 
 @dataclass(frozen=True)
@@ -201,22 +220,18 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
                  keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all of ``docs``) + statistics + verdict.
 
-    When ``keep`` leaves the text out, the statistics are written once (numbers,
-    not texts), so fitting and scoring read the texts once; else the texts are
-    read twice rather than written or shuffled.
+    An input column named like a result column gives way to it.  Rows, votes and
+    statistics are written once, so fitting and scoring read the texts once.
     """
-    cols = keep if keep is not None else docs.columns
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    votes = vote_columns(rules)
-    scored = add_statistics(docs, text).select(*cols, *numbers, *votes)
-    if text not in cols:
-        scored = checkpointed(scored)
-    else:
-        # a filter on the verdict would be pushed below the statistics and compute
-        # them once per mention; it can't pass a generator of its own columns
-        found = F.struct(*numbers, *[f"vote_{r.name}" for r in rules])
-        scored = scored.select(*cols, F.explode(F.array(found)).alias("__found")).select(
-            *cols, "__found.*")
+    own = {*numbers, "posterior", "base_failed", "kept", *(f"vote_{r.name}" for r in rules)}
+    cols = [c for c in (keep if keep is not None else docs.columns) if c not in own]
+    rows = docs.select(F.struct(*cols).alias("__row"), F.col(text).alias("__text")) if cols else \
+        docs.select(F.struct(F.lit(0)).alias("__row"), F.col(text).alias("__text"))
+    scored = checkpointed(add_statistics(rows, "__text").select(
+        "__row", *numbers, *vote_columns(rules)))
+    scored = scored.select(*(["__row.*"] if cols else []), *numbers,
+                           *[f"vote_{r.name}" for r in rules])
     names = [f"vote_{r.name}" for r in rules]
     patterns = scored.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     model = fit_label_model(checkpointed(patterns.coalesce(1)), rules, iterations)
@@ -229,5 +244,6 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
 def keep_good(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that the verdict keeps, with all their columns, whatever their names."""
-    rows = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
-    return weak_quality(rows, "__text", **settings).where(F.col("kept")).select("__row.*")
+    rows = docs.select(F.struct("*").alias("__input"), F.col(text).alias("__text"))
+    return weak_quality(rows, "__text", keep=["__input"], **settings).where(
+        F.col("kept")).select("__input.*")
