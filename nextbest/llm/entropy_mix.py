@@ -13,7 +13,8 @@ table of sources until every constraint holds to 1e-12.
 
 Rounding a rate into whole copies: every document gets ``floor(rate)``; the
 remaining words go, one copy each, to the documents with the smallest hashes of
-id and text, up to a threshold hash found from bucket sums.  What is missing
+id and text (identical rows are numbered, and the number hashed too), up to a
+threshold hash found from bucket sums.  What is missing
 then (less than one document) is filled by the largest documents that still
 fit, one for each source and round.  If ``FILL_ROUNDS`` of them don't do, as
 when the document at the threshold is a very long one, it is skipped: the same
@@ -28,8 +29,8 @@ source's threshold is ever sorted, and the table of sources is broadcast if its
 measured bytes allow (else the join is salted).
 
 Edge cases: null and empty texts have size 0 and take 0 words; a null source is
-a source of its own, sorted last; identical rows (same id and text) are all in or
-all out; a source without words has target 0; an empty table gives an empty
+a source of its own, sorted last; identical rows are numbered in no particular
+order, as they can't be told apart, and taken one by one; a source without words has target 0; an empty table gives an empty
 result; extra columns pass through ``apply_mix``.
 """
 
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 
 from nextbest.llm.common import checkpointed, words
 from nextbest.operators.joins import join_small, measured_bytes
+from nextbest.operators.ranking import positions
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -61,6 +63,30 @@ def with_mix_keys(docs: DataFrame, doc_id: str = "doc_id", source: str = "source
             .withColumn(_KEY, key).withColumn(_HASH, F.md5(seen.cast("binary"))))
 
 
+def repeated_rows(keyed: DataFrame) -> DataFrame | None:
+    """(key, hash) of the rows that the table holds more than once; None: there are none."""
+    found = checkpointed(keyed.groupBy(_KEY, _HASH).agg(F.count(F.lit(1)).alias("n")).where(
+        "n > 1").select(_KEY, _HASH, F.lit(True).alias("__again")))
+    return None if found.isEmpty() else found
+
+
+def numbered(keyed: DataFrame, repeats: DataFrame | None) -> DataFrame:
+    """The rows, identical ones with hashes of their own from the second on.
+
+    Only repeated rows are moved.  They are numbered by range partitions that
+    split a group of copies, so a row repeated a billion times is no one task's.
+    """
+    if repeats is None:
+        return keyed
+    marked = join_small(keyed, repeats, [_KEY, _HASH], "left", salt_by=[F.spark_partition_id()])
+    many = marked.where("__again").withColumn("__spread", F.monotonically_increasing_id())
+    many = positions(many, ["__spread"], [_KEY, _HASH], pos="__copy")
+    own = F.md5(F.concat(F.col(_HASH), F.lit("\n"), F.col("__copy").cast("string")).cast("binary"))
+    many = many.withColumn(_HASH, F.when(F.col("__copy") > 1, own).otherwise(F.col(_HASH)))
+    return marked.where("__again is null").select(*keyed.columns).unionByName(
+        many.select(*keyed.columns))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                    max_copies: int = MAX_COPIES) -> DataFrame:
     """(key, source_size) -> + weight, target.  Keys sort by code point, null ("n") last."""
@@ -99,10 +125,12 @@ def solve_dual(sources: DataFrame, steps: int = 100) -> DataFrame:
     return now.withColumn("rate", F.coalesce(F.exp("__l"), F.lit(0.0))).drop("__l")
 
 
-def fit_mix(keyed: DataFrame, weights: tuple[int, ...] = WEIGHTS,
+def fit_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             max_copies: int = MAX_COPIES) -> DataFrame:
-    """One row a source: sizes, target, rate, and how its documents are rounded."""
-    docs = checkpointed(keyed.select(_KEY, "size", _HASH))
+    """One row a source: sizes, target, rate, and how its documents are rounded.
+
+    ``docs``: (key, size, hash) of the numbered rows, written.
+    """
     sizes = docs.groupBy(_KEY).agg(F.sum("size").alias("source_size"))
     rated = solve_dual(source_targets(sizes, weights, max_copies))
     copies = F.floor(F.col("rate") + 1e-9).cast("int")
@@ -249,7 +277,10 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     """doc_id, size, source_size, target, taken (words, repeats counted), copies."""
     keyed = checkpointed(with_mix_keys(docs.select(doc_id, source, text), doc_id, source, text)
                          .select(doc_id, "size", _KEY, _HASH))
-    joined = join_sources(keyed, fit_mix(keyed, weights, max_copies))
+    repeats = repeated_rows(keyed)
+    if repeats is not None:
+        keyed = checkpointed(numbered(keyed, repeats))
+    joined = join_sources(keyed, fit_mix(keyed.select(_KEY, "size", _HASH), weights, max_copies))
     return joined.withColumn("n_copies", copies_column()).select(
         doc_id, "size", "source_size", "target",
         (F.col("size") * F.col("n_copies")).alias("taken"), F.col("n_copies").alias("copies"))
@@ -261,7 +292,11 @@ def apply_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     """The mixed corpus: every row of ``docs`` as often as the mix takes it."""
     rows = docs.select(F.struct("*").alias("__row"), doc_id, source, text)
     keyed = with_mix_keys(rows, doc_id, source, text)
-    joined = join_sources(keyed, fit_mix(keyed, weights, max_copies))
+    narrow = checkpointed(keyed.select(_KEY, "size", _HASH))
+    repeats = repeated_rows(narrow)
+    if repeats is not None:
+        narrow = checkpointed(numbered(narrow, repeats))
+    joined = join_sources(numbered(keyed, repeats), fit_mix(narrow, weights, max_copies))
     repeated = joined.withColumn("__n", copies_column()).where(F.col("__n") > 0)
     return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(
         "__row.*")

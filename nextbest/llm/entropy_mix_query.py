@@ -19,9 +19,12 @@ _SQL_CAPS = 12
 
 def _oracle() -> str:
     """Targets by unrolled rounds; the tilt in its closed form target / size."""
-    ctes = [r"""d AS MATERIALIZED (SELECT doc_id, source,
+    ctes = [r"""d0 AS MATERIALIZED (SELECT doc_id, source,
   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
   md5(coalesce(doc_id::varchar, '') || chr(10) || coalesce(text, '')) AS h FROM documents)""",
+            """d AS MATERIALIZED (SELECT doc_id, source, size,
+  CASE WHEN j > 1 THEN md5(h || chr(10) || j::varchar) ELSE h END AS h FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, h) AS j FROM d0))""",
             f"""s0 AS MATERIALIZED (SELECT source, sum(size)::bigint AS source_size,
   (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(em.WEIGHTS)} + 1 AS w
   FROM d GROUP BY source)""",

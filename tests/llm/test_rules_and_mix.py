@@ -54,12 +54,22 @@ def test_statistics_equal_a_plain_version(spark):
     assert got == {i: plain_statistics(t) for i, t in enumerate(texts)}
 
 
-def test_a_text_beyond_the_packed_positions_takes_the_other_way(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
-    monkeypatch.setattr(weak_rules, "_POS_BITS", 2)
+def test_windows_whose_hashes_collide_are_told_apart(spark, monkeypatch):
+    """All hashes equal, so unequal windows stand between equal ones (A B A)."""
+    monkeypatch.setattr(weak_rules, "_window_hash", lambda h, i: F.lit(7).cast("long"))
+    texts = [*TEXTS, "a b c x y z a b c", "a b c d a b c e a b c d " * 9]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r[0]: r[1] for r in
            weak_rules.add_statistics(docs).select("doc_id", "n_repeat_words").collect()}
-    assert got == {i: plain_statistics(t)[4] for i, t in enumerate(TEXTS)}
+    assert got == {i: plain_statistics(t)[4] for i, t in enumerate(texts)}
+
+
+def test_a_text_of_over_a_million_words(spark):
+    words_ = [f"{i * 2654435761 % 2**32:x}" for i in range(1_100_000)]
+    text = " ".join([*words_, "p", "q", "r", "s", *words_[500:504], "p", "q", "r"])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = weak_rules.add_statistics(docs).select("n_words", "n_repeat_words").first()
+    assert tuple(r) == (1_100_011, 4 + 4 + 3 + 3)
 
 
 def plain_model(patterns, rules):
@@ -98,6 +108,11 @@ def test_rules_on_odd_rows_and_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int, kept string")
     whole = weak_rules.keep_good(docs)
     assert whole.columns == docs.columns
+    everything = weak_rules.weak_quality(docs)
+    assert everything.columns.count("n_words") == everything.columns.count("kept") == 1
+    assert {r.doc_id: r.n_words for r in everything.collect()}[1] == 100
+    mapped = docs.withColumn("m", F.create_map(F.lit("k"), "n_words"))
+    assert weak_rules.keep_good(mapped).columns == mapped.columns
     got = weak_rules.weak_quality(docs, keep=["doc_id"]).select("doc_id", "base_failed", "kept")
     assert {r.doc_id: r.base_failed for r in got.collect()} == {1: True, 2: True, None: True, 3: True}
     assert got.count() == 5
@@ -124,6 +139,100 @@ def plain_targets(sizes):
         capped |= new
 
 
+def plain_taken(rows, fill_rounds):
+    """Words taken of every (hash, size), by the rule that the module's text gives, source by source."""
+    sizes, by_source = {}, {}
+    for doc_id, text, source in rows:
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        seen = f"{'' if doc_id is None else doc_id}\n{text or ''}"
+        docs = by_source.setdefault(source, [])
+        h, copies = hashlib.md5(seen.encode()).hexdigest(), sum(d[2] == seen for d in docs) + 1
+        if copies > 1:
+            h = hashlib.md5(f"{h}\n{copies}".encode()).hexdigest()
+        docs.append((h, size, seen))
+        sizes[source] = sizes.get(source, 0) + size
+    tol, started = entropy_mix.TOL, []
+
+    def prefix(part, room):
+        """(how many come before the first that doesn't fit, their words)"""
+        words_, n = 0, 0
+        while n < len(part) and words_ + part[n][1] <= room + tol:
+            words_, n = words_ + part[n][1], n + 1
+        return n, words_
+
+    for source, target in plain_targets(sizes).items():
+        docs = sorted(d[:2] for d in by_source[source])
+        rate = target / sizes[source] if target > 0 else 0.0
+        copies = math.floor(rate + 1e-9)
+        gap = max(0.0, rate * sizes[source] - copies * sizes[source])
+        n, words_ = prefix(docs, gap)
+        started.append((docs, copies, gap - words_ if n < len(docs) else 0.0, n))
+    out, filling = [], max(s[2] for s in started) >= 1
+    for docs, copies, gap, n in started:
+        taken, left = {h for h, _ in docs[:n]}, docs[n:]
+        at = left[0][0] if left else "g"
+        left = [d for d in left if 0 < d[1] < 2 * gap] if filling else []
+
+        def fill(part):
+            nonlocal gap
+            last, done = None, 0
+            while done < fill_rounds:
+                fits = [(z, h) for h, z in part if z <= gap + tol and (last is None or (z, h) < last)]
+                if not fits:
+                    return False
+                last, done = max(fits), done + 1
+                gap -= last[0]
+                taken.add(last[1])
+            return True
+
+        more = fill(left) if left else False
+        while more:
+            fits = [d for d in left if d[0] > at and d[0] not in taken and d[1] <= gap + tol]
+            if fits:
+                n, words_ = prefix(fits, gap)
+                taken |= {h for h, _ in fits[:n]}
+                gap -= words_
+                at = fits[n][0] if n < len(fits) else "g"
+            more = fill([d for d in left if d[0] > at and d[0] not in taken])
+        over = [(z, h) for h, z in left if gap + tol < z < 2 * gap - tol and h not in taken]
+        if over:
+            taken.add(min(over)[1])
+        out += [(z, z * (copies + (h in taken))) for h, z in docs]
+    return sorted(out)
+
+
+MIXES = {
+    "copies": [(5, "w " * 100, "a")] * 60 + [(5, "w " * 100, "b")] * 60 + [(6, "v " * 90, "b")],
+    "copies and others": [(i % 40, "x " * (i % 7 * 30), "ab"[i % 2]) for i in range(300)],
+    "a long one at the edge": [(i, "y " * (150 + i * 37 % 250), "a") for i in range(260)]
+    + [(i, "z " * 9000, "a") for i in range(900, 904)] + [(-1, "w " * 40_000, None)],
+    "many sources": [(i, "u " * (i % 11), f"s{i % 23}") for i in range(400)] + [(0, "u " * 90_000, "t")],
+}
+
+
+@pytest.mark.parametrize("name", MIXES)
+@pytest.mark.parametrize("rounds", [16, 2])
+def test_mix_equals_a_plain_version(spark, monkeypatch, name, rounds):
+    """Repeated rows, fills, spans behind documents that don't fit, and many capped sources."""
+    monkeypatch.setattr(entropy_mix, "FILL_ROUNDS", rounds)
+    docs = spark.createDataFrame(MIXES[name], "doc_id long, text string, source string").repartition(5)
+    want = plain_taken(MIXES[name], rounds)
+    got = entropy_mix.mix_sources(docs).collect()
+    assert sorted((r["size"], r.taken) for r in got) == want
+    if rounds == 16:
+        mixed = entropy_mix.apply_mix(docs.withColumn("__copy", F.lit("kept")))
+        assert mixed.columns == [*docs.columns, "__copy"]
+        assert sum(len(r.text.split()) for r in mixed.collect()) == sum(t for _, t in want)
+
+
+def test_identical_rows_are_taken_one_by_one(spark):
+    rows = [(5, "w " * 100, "a")] * 60 + [(i, "w " * 100, "b") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = entropy_mix.mix_sources(docs).where("doc_id = 5").collect()
+    assert got[0].target == 4000 and sum(r.taken for r in got) == 4000
+    assert {r.taken for r in got} == {0, 100}
+
+
 def test_mix_meets_targets_caps_and_reruns(spark):
     rng = random.Random(1)
     rows = []
@@ -250,3 +359,13 @@ def test_items_shorter_than_a_shingle_are_found_inside_longer_texts(spark):
     assert got == {(1, 1, 1, 1), (4, 1, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (3, 4, 1, 1)}
     left = decontam.drop_contaminated(docs, items).collect()
     assert sorted(r.doc_id for r in left) == [2, 5, 6]
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(9,0)", "smallint"])
+def test_items_may_have_ids_of_any_type(spark, kind):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"before {text} after", 3)], "doc_id int, text string, item_id int")
+    items = spark.createDataFrame([("7", text)], "item_id string, text string")
+    items = items.withColumn("item_id", items.item_id.cast(kind))
+    found = decontam.find_contained(docs, items).collect()
+    assert [(r.doc_id, str(r.item_id), r.containment) for r in found] == [(1, "7", 1.0)]
