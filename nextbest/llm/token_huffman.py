@@ -28,42 +28,61 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from nextbest.llm.common import checkpointed, column, crc, slices
+from nextbest.llm.common import WORD, checkpointed, column, crc, slices
 
 CHECKPOINT = 64
 BLOCK_TOKENS = 1 << 16
 MAX_BITS = 18
-#: Words, and pieces of words, that a worker remembers; each memory is emptied when it is full.
+#: Pieces of words that a worker remembers; the memory is emptied when it is full.
 _REMEMBERED = 600_000
 
 
 # ---------------------------------------------------------------- tokenising
 
+class _Codes(dict):
+    """piece -> its number; ``pool[starts[n]:starts[n + 1]]`` are the ids of piece n."""
+
+    def __init__(self, ids_of: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.ids_of, self.pool, self.starts = ids_of, array("I"), array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        code = self[piece] = len(self)
+        self.pool.extend(self.ids_of(piece))
+        self.starts.append(len(self.pool))
+        return code
+
+
 class WordTokenizer:
-    """Ids of whole texts by a tokenizers BPE file, remembering words.
+    """Ids of whole texts by a tokenizers BPE file, remembering pieces of words.
 
     The file's tokenizer drops white space and never joins text across it, so a
-    text's ids are its words' ids in a row.  A word of plain letters, digits and
-    signs goes straight to the library's BPE model, piece by piece; any other
-    word, and any text with control characters that Python and the library
-    could split differently, goes through the library's whole pipeline.
+    text's ids are its words' ids in a row.  A text, or else each word of it, of
+    plain letters, digits and signs is cut into the pieces that go to the
+    library's BPE model; any other word goes through the library's whole
+    pipeline.  A piece met again is one lookup, and ids are gathered by numpy.
     """
 
     #: printable ASCII and precomposed Latin letters, which no normaliser but
     #: lower-casing changes
-    _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ň"
-                        "Ŋ-ž]+")
+    _SIGNS = "\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž"
+    _PLAIN = re.compile(f"[{_SIGNS}]+")
+    _PLAIN_TEXT = re.compile(f"[{_SIGNS}\x20\x09-\x0D]*")
     _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|"
                         "[^\\sa-zß-öø-ž0-9]+")
-    _ODD = re.compile("[\x1c-\x1f]")
+    #: Marks a word that goes through the whole pipeline; no piece holds it.
+    _WHOLE = "\0"
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -73,9 +92,8 @@ class WordTokenizer:
         self.model = self.whole.model
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.to_bytes = lambda s: byte_level.pre_tokenize_str(s)[0][0]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.steady = self._is_steady()
+        self.codes = _Codes(self._piece)
 
     def _is_steady(self) -> bool:
         """True if the file has the pipeline that the shortcut stands for."""
@@ -89,41 +107,48 @@ class WordTokenizer:
                 == "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
                 and spec["model"].get("dropout") is None)
 
-    def _whole_ids(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            if len(self.pieces) >= _REMEMBERED:
-                self.pieces.clear()
-            raw = piece if piece.isascii() else self.to_bytes(piece)
-            ids = [t.id for t in self.model.tokenize(raw)]
-            known = self.pieces[piece] = np.array(ids, dtype="<u4").tobytes()
-        return known
-
-    def _word(self, word: str) -> bytes:
-        if "<|" in word or not self._PLAIN.fullmatch(word):
-            return self._whole_ids(word)
-        found = self._PIECE.findall(word.lower())
-        return self._piece(found[0]) if len(found) == 1 else b"".join(map(self._piece, found))
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        if not self.steady or self._ODD.search(text):
-            return self._whole_ids(text)
-        words, out = self.words, []
-        for w in text.split():
-            got = words.get(w)
-            if got is None:
-                if len(words) >= _REMEMBERED:
-                    words.clear()
-                got = words[w] = self._word(w)
-            out.append(got)
-        return b"".join(out)
+    def _whole_ids(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def _piece(self, piece: str) -> list[int]:
+        if piece.startswith(self._WHOLE):
+            return self._whole_ids(piece[1:])
+        return [t.id for t in self.model.tokenize(piece if piece.isascii() else self.to_bytes(piece))]
+
+    def pieces(self, text: str) -> list[str]:
+        """What the ids of a text are looked up by."""
+        if self._PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            return self._PIECE.findall(text.lower())
+        out: list[str] = []
+        for word in WORD.findall(text):
+            if "<|" not in word and self._PLAIN.fullmatch(word):
+                out += self._PIECE.findall(word.lower())
+            else:
+                out.append(self._WHOLE + word)
+        return out
+
+    def encode_column(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ends, ids): all ids of the texts, each closed by ``end_id``, and where each ends."""
+        if not self.steady:
+            parts = [np.array([*(self._whole_ids(t) if t else ()), end_id], dtype="<u4") for t in texts]
+            return np.cumsum([len(p) for p in parts]), np.concatenate([*parts, np.zeros(0, "<u4")])
+        if len(self.codes) >= _REMEMBERED:
+            self.codes = _Codes(self._piece)
+        code_of, per_text = self.codes.__getitem__, [np.zeros(0, dtype=np.int64)]
+        for t in texts:
+            found = self.pieces(t) if t else ()
+            per_text.append(np.fromiter(map(code_of, found), dtype=np.int64, count=len(found)))
+        codes = np.concatenate(per_text)
+        pool, starts = np.array(self.codes.pool, dtype="<u4"), np.array(self.codes.starts)
+        each = (starts[1:] - starts[:-1])[codes]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        found = pool[np.repeat(starts[codes] - upto[:-1], each) + np.arange(upto[-1])]
+        ends = upto[np.cumsum([len(c) for c in per_text])[1:]] + np.arange(1, len(texts) + 1)
+        out = np.full(len(found) + len(texts), end_id, dtype="<u4")
+        free = np.ones(len(out), dtype=bool)
+        free[ends - 1] = False
+        out[free] = found
+        return ends, out
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -136,36 +161,49 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
-def _pack(ids: bytes) -> bytes:
-    """Compressed, in two bytes an id where all fit."""
-    wide = np.frombuffer(ids, dtype="<u4")
-    body = wide.astype("<u2").tobytes() if not len(wide) or wide.max() < 1 << 16 else ids
-    return (b"\2" if body is not ids else b"\4") + zstandard.ZstdCompressor(1).compress(body)
+class _Packer:
+    """Ids as compressed bytes, in two bytes an id where all of a document's fit."""
 
+    def __init__(self) -> None:
+        self.compress = zstandard.ZstdCompressor(1).compress
+        self.decompress = zstandard.ZstdDecompressor().decompress
 
-def _unpack(packed: bytes) -> np.ndarray:
-    body = zstandard.ZstdDecompressor().decompress(packed[1:])
-    return np.frombuffer(body, dtype="<u2" if packed[0] == 2 else "<u4").astype(np.int64)
+    def pack(self, ids: np.ndarray) -> bytes:
+        small = not len(ids) or ids.max() < 1 << 16
+        return (b"\2" if small else b"\4") + self.compress(ids.astype("<u2" if small else "<u4").tobytes())
+
+    def unpack(self, packed: bytes) -> np.ndarray:
+        body = self.decompress(packed[1:])
+        return np.frombuffer(body, dtype="<u2" if packed[0] == 2 else "<u4").astype(np.int64)
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids: packed bytes), the end id appended."""
-    end = np.array([end_id], dtype="<u4").tobytes()
-    kind = docs.schema[doc_id].dataType.simpleString()
+    """(doc_id, n_tokens, ids: packed bytes), the end id appended; and one row a task that
+    has ``counts`` instead: packed, each id's number in the task's documents."""
+    kind = docs.schema[doc_id].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokenizer(path)
+        enc, packer, total = tokenizer(path), _Packer(), np.zeros(0, dtype=np.int64)
+        names = ["doc_id", "n_tokens", "ids", "counts"]
         for batch in slices(batches, text):
-            ids = [enc.encode(t) + end for t in column(batch, text)]
+            ends, ids = enc.encode_column(column(batch, text), end_id)
+            got = np.bincount(ids, minlength=len(total))
+            got[:len(total)] += total
+            total = got
+            starts = np.concatenate([[0], ends])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(doc_id)),
-                 pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([_pack(i) for i in ids], pa.binary())],
-                names=["doc_id", "n_tokens", "ids"])
+                [batch.column(batch.schema.get_field_index(doc_id)), pa.array(np.diff(starts)),
+                 pa.array([packer.pack(ids[a:b]) for a, b in zip(starts[:-1], ends)], pa.binary()),
+                 pa.nulls(len(ends), pa.binary())], names=names)
+        seen = np.flatnonzero(total)
+        packed = packer.compress(np.stack([seen, total[seen]]).astype("<i8").tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, to_arrow_type(kind)), pa.array([0], pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([packed], pa.binary())], names=names)
 
     return docs.select(doc_id, text).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids binary")
+        run, f"doc_id {kind.simpleString()}, n_tokens long, ids binary, counts binary")
 
 
 # ------------------------------------------------------------------- the code
@@ -261,41 +299,34 @@ def code_from_counts(counts: DataFrame, max_bits: int = MAX_BITS) -> Code:
 # --------------------------------------------------------------------- files
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """(id, count) over all documents; each task sends one row an id."""
+    """(id, count) over all documents, from the tasks' own counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for batch in slices(batches, "ids", 2 << 20):
-            if batch.num_rows:
-                ids = np.concatenate([_unpack(p) for p in column(batch, "ids")])
-                got = np.bincount(ids, minlength=len(total))
-                got[:len(total)] += total
-                total = got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])],
-                                         names=["id", "count"])
-
-    return tokens.select("ids").mapInArrow(run, "id long, count long").groupBy("id").agg(
-        F.sum("count").alias("count"))
-
+        packer = _Packer()
+        for batch in batches:
+            for packed in column(batch, "counts"):
+                ids, counts = np.frombuffer(packer.decompress(packed), dtype="<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)],
+                                                 names=["id", "count"])
 
-def _id_type(kind: str) -> pa.DataType:
-    return {"int": pa.int32(), "bigint": pa.int64()}.get(kind, pa.string())
+    return tokens.where("counts is not null").select("counts").mapInArrow(
+        run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
 
 
 _BLOCK = ("shard int, block long, first_token long, n_tokens long, doc_ids array<{kind}>, "
           "doc_tokens array<long>, checkpoints array<long>, bits binary")
 
 
-def encoded_blocks(tokens: DataFrame, code, kind: str, block_tokens: int) -> DataFrame:
+def encoded_blocks(tokens: DataFrame, code, kind: DataType, block_tokens: int) -> DataFrame:
     """Blocks of whole documents from range-partitioned, sorted rows."""
     types = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first_token", pa.int64()),
-                       ("n_tokens", pa.int64()), ("doc_ids", pa.list_(_id_type(kind))),
+                       ("n_tokens", pa.int64()), ("doc_ids", pa.list_(to_arrow_type(kind))),
                        ("doc_tokens", pa.list_(pa.int64())),
                        ("checkpoints", pa.list_(pa.int64())), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         shard, block, first = TaskContext.get().partitionId(), 0, 0
+        unpack = _Packer().unpack
         ids: list = []
         parts: list[np.ndarray] = []
         held = 0
@@ -313,21 +344,21 @@ def encoded_blocks(tokens: DataFrame, code, kind: str, block_tokens: int) -> Dat
         for batch in batches:
             for d, packed in zip(column(batch, "doc_id"), column(batch, "ids")):
                 ids.append(d)
-                parts.append(_unpack(packed))
+                parts.append(unpack(packed))
                 held += len(parts[-1])
                 if held >= block_tokens:
                     yield flush()
         if parts:
             yield flush()
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, _BLOCK.format(kind=kind))
+    return tokens.select("doc_id", "ids").mapInArrow(run, _BLOCK.format(kind=kind.simpleString()))
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1,
                  doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
                  block_tokens: int = BLOCK_TOKENS) -> str:
     """Write the corpus under ``folder`` (a path that all executors share)."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+    kind = docs.schema[doc_id].dataType
     tokens = checkpointed(tokenized(docs, tokenizer_path, end_id, doc_id, text))
     counts = checkpointed(id_counts(tokens))
     code = code_from_counts(counts, max_bits)
@@ -336,7 +367,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         [(int(i), int(b)) for i, b in zip(code.ids, code.bits)], "id long, bits int")
     counts.join(lengths, "id").orderBy("id").write.parquet(f"{folder}/code")
     shared = spark.sparkContext.broadcast(code)
-    ordered = tokens.withColumn("__h", F.xxhash64("ids")).repartitionByRange(
+    ordered = tokens.where("ids is not null").withColumn("__h", F.xxhash64("ids")).repartitionByRange(
         F.col("doc_id").asc_nulls_first(), "__h").sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "__h")
     encoded_blocks(ordered, shared, kind, block_tokens).write.parquet(f"{folder}/blocks")
@@ -373,7 +404,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     # one row a shard, far fewer than blocks
     placed = blocks.join(shards, "shard").withColumn(
         "before", F.col("shard_first") + F.col("first_token"))
-    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    kind = blocks.schema["doc_ids"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,10 +412,10 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 rows = [(d, start, len(ids), crc(ids.astype("<u4").tobytes()))
                         for d, start, ids in decode_rows(batch.slice(i, 1), code.value)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), _id_type(kind) if n == 0 else pa.int64())
+                    [pa.array(list(c), to_arrow_type(kind) if n == 0 else pa.int64())
                      for n, c in enumerate(zip(*rows))],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return placed.select("before", "n_tokens", "doc_ids", "doc_tokens", "checkpoints",
                          "bits").mapInArrow(
-        run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+        run, f"doc_id {kind.simpleString()}, start long, n_tokens long, ids_crc32 long")

@@ -33,7 +33,7 @@ def plain_rows(rows):
 
 
 def word_ids(text):
-    return np.frombuffer(ENC.encode(text), "<u4").tolist()
+    return ENC.encode_column([text], END_ID)[1].tolist()[:-1]
 
 
 @pytest.mark.parametrize("text", [
@@ -51,6 +51,26 @@ def test_words_give_any_texts_ids(text):
     assert word_ids(text) == plain_ids(text)
 
 
+ODD_TEXTS = [None, "", " ", "a b  c\n", "Hello, World's", None, "x\x0by\x0cz \x1cq\x85r\xa0s t",
+             "<|endoftext|> 12", "é ́x \u2028y", "a"]
+
+
+def test_a_columns_ids_are_its_texts_ids():
+    for texts in (ODD_TEXTS, ODD_TEXTS[1:2], ODD_TEXTS[:1], ["b"]):
+        ends, ids = ENC.encode_column(texts, END_ID)
+        starts = [0, *ends.tolist()]
+        got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+        assert got == [plain_ids(t) + [END_ID] for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t'<|>\x1c\x85")),
+                        max_size=30), max_size=5))
+def test_any_columns_ids_are_its_texts_ids(texts):
+    ends, ids = ENC.encode_column(texts, END_ID)
+    assert ids.tolist() == [i for t in texts for i in [*plain_ids(t), END_ID]]
+
+
 def test_lengths_are_limited_and_optimal():
     counts = {i: 2 ** i for i in range(12)}  # unlimited Huffman needs 11 bits
     for limit in (4, 6, 11, 15):
@@ -108,3 +128,15 @@ def test_odd_rows(spark):
     assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got])[:-1].tolist()
     assert sorted(r[2] for r in got[1:4]) == [1, 3, 3]
     assert token_files(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(10,2)", "date", "string"])
+def test_ids_of_any_ordered_type(spark, kind):
+    docs = spark.createDataFrame([(f"200{n}-01-0{n}" if kind == "date" else str(n), f"word {n}", n, n)
+                                  for n in (3, 1, 2)], "doc_id string, text string, start int, counts int")
+    docs = docs.withColumn("doc_id", docs.doc_id.cast(kind))
+    got = token_files(docs)
+    assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    rows = sorted((tuple(r) for r in got.collect()), key=lambda r: r[1])
+    assert [r[0] for r in rows] == sorted(r.doc_id for r in docs.collect())
+    assert [r[2] for r in rows] == [3, 3, 3]
