@@ -134,16 +134,21 @@ class WordTokenizer:
             return np.cumsum([len(p) for p in parts]), np.concatenate([*parts, np.zeros(0, "<u4")])
         if len(self.codes) >= _REMEMBERED:
             self.codes = _Codes(self._piece)
-        code_of, per_text = self.codes.__getitem__, [np.zeros(0, dtype=np.int64)]
+        flat, upto_text = [], []
         for t in texts:
-            found = self.pieces(t) if t else ()
-            per_text.append(np.fromiter(map(code_of, found), dtype=np.int64, count=len(found)))
-        codes = np.concatenate(per_text)
+            flat += self.pieces(t) if t else ()
+            upto_text.append(len(flat))
+        # Arrow finds the distinct pieces, far fewer, faster than a Python dictionary
+        distinct = pa.array(flat, pa.string()).dictionary_encode()
+        del flat
+        known = distinct.dictionary.to_pylist()
+        codes = np.fromiter(map(self.codes.__getitem__, known), dtype=np.int64, count=len(known))[
+            distinct.indices.to_numpy(zero_copy_only=False)]
         pool, starts = np.array(self.codes.pool, dtype="<u4"), np.array(self.codes.starts)
         each = (starts[1:] - starts[:-1])[codes]
         upto = np.concatenate([[0], np.cumsum(each)])
         found = pool[np.repeat(starts[codes] - upto[:-1], each) + np.arange(upto[-1])]
-        ends = upto[np.cumsum([len(c) for c in per_text])[1:]] + np.arange(1, len(texts) + 1)
+        ends = upto[np.array(upto_text, dtype=np.int64)] + np.arange(1, len(texts) + 1)
         out = np.full(len(found) + len(texts), end_id, dtype="<u4")
         free = np.ones(len(out), dtype=bool)
         free[ends - 1] = False
@@ -186,7 +191,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, packer, total = tokenizer(path), _Packer(), np.zeros(0, dtype=np.int64)
         names = ["doc_id", "n_tokens", "ids", "counts"]
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 4 << 20):
             ends, ids = enc.encode_column(column(batch, text), end_id)
             got = np.bincount(ids, minlength=len(total))
             got[:len(total)] += total
