@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nextbest.llm.common import checkpointed, column, fold, hash_sample, slices
@@ -254,8 +254,14 @@ def training_sample(labels: DataFrame, label: str, folds: int, held_out: int, ma
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    lang: str = "lang", label: str = "toxic", folds: int = 5, held_out: int = 0,
                    max_positive: int = 3000, max_negative: int = 4000, max_words: int = 20_000,
-                   threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted."""
+                   max_total_words: int = 12_000_000, threshold: float = 0.5) -> DataFrame:
+    """doc_id, held_out, score, predicted.
+
+    The training texts reach the driver as word hashes: at most the given
+    numbers of rows, of at most ``max_words`` words each, and in the order of
+    their ids' hashes up to ``max_total_words`` (96 MB).  An id with several
+    texts trains with the one of the smallest hash.
+    """
     spark = docs.sparkSession
     sample = checkpointed(training_sample(labels.select(F.col(doc_id).alias("doc_id"), label), label,
                                           folds, held_out, max_positive, max_negative))
@@ -274,8 +280,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text), F.col(lang).alias("lang")).join(
         F.broadcast(sample), "doc_id").select("doc_id", "y", "lang", text)
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = picked.mapInArrow(hashed, f"doc_id {kind}, y int, lang string, words binary").withColumn(
-        "apart", F.xxhash64(F.lit("calibrate"), "doc_id") % 4 == 0).dropDuplicates(["doc_id"]).collect()
+    one = F.min(F.struct(F.xxhash64("words").alias("h"), "words", "lang", "y")).alias("one")
+    texts = checkpointed(picked.mapInArrow(
+        hashed, f"doc_id {kind}, y int, lang string, words binary").groupBy("doc_id").agg(one).select(
+        "doc_id", "one.y", "one.lang", "one.words",
+        (F.xxhash64(F.lit("calibrate"), "doc_id") % 4 == 0).alias("apart")))
+    # a window over the ids of the bounded sample
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    within = texts.select("doc_id", (F.octet_length("words") / 8).alias("n")).withColumn(
+        "upto", upto).where(F.col("upto") <= max_total_words).select("doc_id")
+    rows = texts.join(F.broadcast(within), "doc_id").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["words"]))
     model = TextCNN().fit([np.frombuffer(r["words"], dtype=np.uint64) for r in rows],
                           np.array([r["y"] for r in rows]), [r["lang"] for r in rows],
