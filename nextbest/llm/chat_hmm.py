@@ -16,9 +16,10 @@ form: consecutive messages of a role become one turn.
 
 Viterbi runs in blocks of ``BLOCK`` lines, so no transcript has to fit in one
 task.  A block is a max-plus matrix (best score from any entry state to any exit
-state); a scan over a transcript's block matrices, ``BLOCK`` times shorter than
-the transcript, fixes the states at the block borders; the blocks then trace
-their own lines between fixed borders.  The result is that of one pass, ties
+state), and ``SPAN`` blocks multiply to the matrix of a span.  A scan over a
+transcript's spans, 65,536 times shorter than the transcript, fixes the states
+at the borders of spans; each span then fixes those of its blocks, and the blocks
+trace their own lines, always between fixed borders.  The result is that of one pass, ties
 included (the state first in STATES wins).  A running sum of the blocks' role
 changes numbers the turns, and the pieces that blocks hold of a turn are joined.
 
@@ -28,7 +29,8 @@ not by turn numbers: missing or repeated turns fill no block beyond its size.
 Edge cases: null texts are empty messages; a row with a null conversation id is a
 transcript of its own; rows of equal turn number are ordered by text, null turns come
 first; exact repeats of a row with a conversation and a turn are one message,
-other repeats are messages of their own; unknown roles train nothing; with nothing
+other repeats are messages of their own; a marker is taken off where it opens a row or a
+turn or names a speaker, and is text inside a turn else ("Answer: 42"); unknown roles train nothing; with nothing
 to learn from the smoothing alone decides (markers still count); an empty table
 gives an empty result; texts are kept whole but for markers and outer space.
 """
@@ -42,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from nextbest.llm.common import checkpointed, slices
 from nextbest.operators.ranking import positions
@@ -50,6 +53,8 @@ ROLES = ("system", "user", "assistant")
 #: A line begins a message of a role, or goes on with one.
 STATES = ROLES + tuple(f"{r}+" for r in ROLES)
 BLOCK = 256
+#: Blocks of a span.
+SPAN = 256
 
 #: Speaker markers at the start of a message's first line, by role.
 MARKERS = {
@@ -57,6 +62,8 @@ MARKERS = {
     "user": ("user", "human", "customer", "question", "q", "instruction", "prompt"),
     "assistant": ("assistant", "ai", "bot", "agent", "answer", "a", "response", "model"),
 }
+#: Markers that are names of a speaker; the others ("Answer:") also stand inside messages.
+SPEAKERS = frozenset("system user human customer assistant ai bot agent model".split())
 _ROLE_OF = {word: role for role, some in MARKERS.items() for word in some}
 _MARKER = re.compile(r"\s*(?:#{1,6}\s*|\*\*|<\||\[)?\s*([A-Za-z]{1,12})\s*(?:\*\*|\|>|\])?\s*"
                      r"(?::(?:\*\*)?[ \t]*\n?|(?<=[>\]])[ \t]*\n?|\n)")
@@ -72,6 +79,12 @@ def split_marker(text: str) -> tuple[str, str]:
     return "none", text
 
 
+def names_speaker(line: str) -> bool:
+    """Does the line's marker name a speaker, or is it set off as a heading or in brackets?"""
+    m = _MARKER.match(line + "\n")
+    return bool(m) and (m.group(1).lower() in SPEAKERS or any(c in m.group(0) for c in "#<[*"))
+
+
 #: Observations of a line; a marker with "+" is met inside a row, not at its start.
 FEATURES = {"marker": [*MARKERS, "none", *(f"{m}+" for m in MARKERS), "none+"],
             "words": [str(i) for i in range(11)], "end": ["?", ".", "other"],
@@ -167,18 +180,28 @@ def trace(model: RoleModel, emits: np.ndarray, entry: int, leave: int, begins: b
     return path[::-1]
 
 
-def borders(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
-    """(entry role, exit role) of every block of a transcript, in order."""
-    score, backs = matrices[0][0], []
+def borders(matrices: list[np.ndarray], entry: int = 0, leave: int | None = None
+            ) -> list[tuple[int, int]]:
+    """(entry state, exit state) of every part in order, from ``entry`` to ``leave`` (None: the
+    likeliest).  A transcript's first part has the same row for every entry."""
+    score, backs = matrices[0][entry], []
     for m in matrices[1:]:
         ways = score[:, None] + m
         backs.append(ways.argmax(axis=0))
         score = ways.max(axis=0)
-    exits = [int(score.argmax())]
+    exits = [int(score.argmax()) if leave is None else leave]
     for back in reversed(backs):
         exits.append(int(back[exits[-1]]))
     exits.reverse()
-    return list(zip([0, *exits[:-1]], exits))
+    return list(zip([entry, *exits[:-1]], exits))
+
+
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    """The max-plus matrix of parts in a row."""
+    out = matrices[0]
+    for m in matrices[1:]:
+        out = (out[:, :, None] + m[None, :, :]).max(axis=1)
+    return out
 
 
 def _by_key(keys: list[str], work: Callable[[list[dict]], list[tuple]], names: list[str],
@@ -216,7 +239,8 @@ def lines(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) ->
     picked = rows.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"),
                          F.col(text).alias("text"),
                          (F.col(role) if role else F.lit(None).cast("string")).alias("role"))
-    kind, role_kind = (picked.schema[c].dataType.simpleString() for c in ("conv", "role"))
+    conv_type, kind = picked.schema["conv"].dataType, picked.schema["conv"].dataType.simpleString()
+    role_kind = picked.schema["role"].dataType.simpleString()
     whole = role_kind.startswith("array")
     # nothing tells which rows without a conversation belong together
     own = F.concat(F.lit("n"), F.md5(F.to_json(F.struct("turn", "text", "role")).cast("binary")),
@@ -251,17 +275,13 @@ def lines(rows: DataFrame, conv: str, turn: str, text: str, role: str | None) ->
             if out:
                 yield _batch(out, names, types)
 
-    types = [pa.string(), _arrow(kind), pa.int64(), pa.int64(), pa.int64(), pa.string(),
+    types = [pa.string(), to_arrow_type(conv_type), pa.int64(), pa.int64(), pa.int64(), pa.string(),
              pa.string(), pa.int32()]
     return placed.select("key", "conv", "turn", "text", "role", "n", "pos").mapInArrow(
         run, f"key string, conv {kind}, block long, pos long, turn long, line string, "
         "label string, code int")
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
-
-
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
@@ -303,7 +323,7 @@ def decode(found: DataFrame, model: RoleModel) -> DataFrame:
     """Pieces of turns: key, conv, block, starts (turns begun in the block up to and including
     this one), turn, role, role_pred, marker, body.  A block's pieces of 0 starts go on with
     the turn of the block before."""
-    kind = found.schema["conv"].dataType.simpleString()
+    conv_type, kind = found.schema["conv"].dataType, found.schema["conv"].dataType.simpleString()
     shared = found.sparkSession.sparkContext.broadcast(model)
     n = len(model.roles)
 
@@ -312,8 +332,17 @@ def decode(found: DataFrame, model: RoleModel) -> DataFrame:
                          rows[0]["pos"] == 0)
         return [(rows[0]["key"], rows[0]["block"], m.reshape(-1).tolist())]
 
+    def unpacked(rows: list[dict]) -> list[np.ndarray]:
+        return [np.array(r["m"]).reshape(n, n) for r in rows]
+
+    def span(rows: list[dict]) -> list[tuple]:
+        return [(rows[0]["key"], rows[0]["span"], product(unpacked(rows)).reshape(-1).tolist())]
+
     def scan(rows: list[dict]) -> list[tuple]:
-        ends = borders([np.array(r["m"]).reshape(n, n) for r in rows])
+        return [(r["key"], r["span"], a, b) for r, (a, b) in zip(rows, borders(unpacked(rows)))]
+
+    def inside(rows: list[dict]) -> list[tuple]:
+        ends = borders(unpacked(rows), rows[0]["entry"], rows[0]["leave"])
         return [(r["key"], r["block"], a, b) for r, (a, b) in zip(rows, ends)]
 
     def path(rows: list[dict]) -> list[tuple]:
@@ -324,7 +353,9 @@ def decode(found: DataFrame, model: RoleModel) -> DataFrame:
         pieces, starts = [], 0
         for r, p in zip(rows, found):
             role, begins = states[p].rstrip("+"), not states[p].endswith("+")
-            marker, body = split_marker(r["line"] + "\n") if begins else ("none", r["line"])
+            opens = not decoded(r["code"])["marker"].endswith("+")
+            marker, body = split_marker(r["line"] + "\n") if begins and (
+                opens or role != before or names_speaker(r["line"])) else ("none", r["line"])
             if role != before or not pieces:
                 starts += role != before
                 label = r["label"] and r["label"].rstrip("+")
@@ -342,13 +373,25 @@ def decode(found: DataFrame, model: RoleModel) -> DataFrame:
         *keys, "pos").mapInArrow(
         _by_key(keys, matrix, [*keys, "m"], [pa.string(), pa.int64(), pa.list_(pa.float64())]),
         "key string, block long, m array<double>")
-    ends = matrices.repartition("key").sortWithinPartitions(*keys).mapInArrow(
-        _by_key(["key"], scan, [*keys, "entry", "leave"],
+    # written, as the spans' scan and their blocks' both read them
+    matrices = checkpointed(matrices.withColumn("span", F.floor(F.col("block") / SPAN)))
+    spanned = ["key", "span"]
+    spans = matrices.repartition(*spanned).sortWithinPartitions(*spanned, "block").mapInArrow(
+        _by_key(spanned, span, [*spanned, "m"], [pa.string(), pa.int64(), pa.list_(pa.float64())]),
+        "key string, span long, m array<double>")
+    fixed = spans.repartition("key").sortWithinPartitions(*spanned).mapInArrow(
+        _by_key(["key"], scan, [*spanned, "entry", "leave"],
+                [pa.string(), pa.int64(), pa.int32(), pa.int32()]),
+        "key string, span long, entry int, leave int")
+    ends = matrices.join(fixed, spanned).repartition(*spanned).sortWithinPartitions(
+        *spanned, "block").mapInArrow(
+        _by_key(spanned, inside, [*keys, "entry", "leave"],
                 [pa.string(), pa.int64(), pa.int32(), pa.int32()]),
         "key string, block long, entry int, leave int")
     placed = found.join(ends, keys).repartition(*keys).sortWithinPartitions(*keys, "pos")
     names = [*keys[:1], "conv", "block", "starts", "turn", "role", "role_pred", "marker", "body"]
-    types = [pa.string(), _arrow(kind), pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 4]
+    types = [pa.string(), to_arrow_type(conv_type), pa.int64(), pa.int64(), pa.int64(),
+             *[pa.string()] * 4]
     return placed.mapInArrow(
         _by_key(keys, path, names, types),
         f"key string, conv {kind}, block long, starts long, turn long, role string, "

@@ -1,6 +1,7 @@
 """Classifiers, language profiles, page text and transcripts."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -369,3 +370,118 @@ MENU = "".join(f'<a href="/{i}">page number {i}</a><br>' for i in range(9))
 def test_regions_keep_what_is_no_link_list(html, want):
     got = html_ttr.main_text(html)
     assert got == want if want else got.startswith("T\ntext with a link and many")
+
+
+PROSE = "This is a long paragraph of prose that goes on for a while and says a good deal. " * 3
+STORY = f"<article><h1>T</h1><p>{PROSE}</p><p>One</p></article>"
+SAID = f"T\n{PROSE.strip()}\nOne"
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<body><form>{STORY}</form></body>", SAID),
+    (f"<body><nav><a href=x>Home</a><a href=y>News</a>{STORY}</body>", SAID),
+    (f"<body><div role=form>{STORY}</div><form>Your name <input></form></body>", SAID),
+    (f"<body><form><h2>T</h2><p>{PROSE}</p><p>One</p><input></form></body>", SAID),
+    (f"{STORY}<!-- <p>never ends</p>", SAID), (f"{STORY}<div class='x", SAID),
+    (f"<script>let a = '<!--';</script>{STORY}", SAID), (f"<!-->{STORY}", SAID),
+    ("<article><p>Let <math><mi>x</mi><annotation>x</annotation></math> be.</p></article>", "Let x be."),
+])
+def test_nothing_swallows_an_article(html, want):
+    assert html_ttr.main_text(html) == want
+
+
+@pytest.mark.parametrize("given", ['class="user-comments"', 'class="reader-comments"', 'id="commentlist"',
+                                   'class="post-comments"', 'id="respond"', 'class="gdpr"',
+                                   'class="cookie-policy-popup"'])
+def test_compound_names_need_evidence(given):
+    body = f"<div class=content><p>{PROSE}</p><p>{PROSE}</p></div>"
+    notes = "".join(f'<div class=c><span class="author">A{i}</span><p>I liked it a lot.</p></div>'
+                    for i in range(2)) if "comment" in given else "<p>We use them.</p><button>OK</button>"
+    plain = f"{PROSE.strip()}\n{PROSE.strip()}"
+    assert html_ttr.main_text(f"<body>{body}<div {given}>{notes}</div></body>") == plain
+    kept = html_ttr.main_text(f"<body>{body}<div class=comment-culture><p>{PROSE}</p></div></body>")
+    assert kept == f"{plain}\n{PROSE.strip()}"
+
+
+PLAIN_MENU = "".join(f"<p>{w}</p>" for w in "News Sport Weather Culture Money Travel".split())
+NO_ARTICLE = f"<body><div>{PLAIN_MENU}</div><div>{f'<p>{PROSE}</p>' * 5}</div></body>"
+
+
+def test_ratios_choose_the_region_of_a_page_without_article(monkeypatch):
+    want = "\n".join([PROSE.strip()] * 5)
+    assert html_ttr.main_text(NO_ARTICLE) == want
+    # a line beside the dense ones is lifted by its neighbours, and stays
+    ended_so = NO_ARTICLE.replace("</body>", "<div><p>The end of it.</p></div></body>")
+    assert html_ttr.main_text(ended_so) == f"{want}\nThe end of it."
+    with monkeypatch.context() as m:
+        m.setattr(html_ttr, "smooth", lambda ratios, sigma=1.0: ratios)
+        assert html_ttr.main_text(ended_so) == want
+    with monkeypatch.context() as m:
+        m.setattr(html_ttr, "threshold", lambda ratios: -1.0)
+        assert html_ttr.main_text(NO_ARTICLE).startswith("News\nSport")
+
+
+@pytest.mark.parametrize("html", [
+    "<span class=x>" * 50_000 + "t", "<div class=x>" * 50_000 + "t", "<p>t</p>" + "<!-- a <!" * 20_000,
+    "<b>" * 50_000 + "<div>t" + "</b>" * 50_000 + "<ul>" * 50_000,
+    "<div class=menu><article>" * 20_000 + "t", "<ul><li>" * 50_000 + "t" + "</i></li>" * 30_000])
+def test_work_grows_with_the_length(html):
+    started = time.process_time()
+    assert html_ttr.main_text(html).strip("\n") in ("t", "")
+    assert time.process_time() - started < 20
+
+
+def test_a_training_id_with_several_texts_is_no_matter_of_order(spark):
+    """Operators 1 and 2 pick the same row whatever the partitions."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang", "source")
+    twice = docs.unionByName(docs.withColumn("text", F.reverse("text")))
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    for score in (quality_gam.score_quality, toxicity_cnn.score_toxicity):
+        a, b = (sorted(map(str, score(df, labels).collect()))
+                for df in (twice, twice.repartition(7, "text")))
+        assert a == b
+
+
+def test_training_words_are_bounded(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    few = toxicity_cnn.score_toxicity(docs, labels, max_total_words=5000)
+    assert few.count() == docs.count()
+
+
+def test_a_label_inside_a_message_is_text(spark):
+    rows = [(1, 0, None, "User: Count.\nAssistant: Steps:\nAnswer: 42\nUser: q\nHuman: more")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_hmm.format_chats(df).orderBy("seq").collect()
+    assert [r.rendered for r in got] == [f"<|{r}|>\n{b}\n<|end|>\n" for r, b in (
+        ("user", "Count."), ("assistant", "Steps:\nAnswer: 42"), ("user", "q\nmore"))]
+
+
+def test_spans_give_the_path_of_one_pass():
+    rng = np.random.default_rng(4)
+    model = chat_hmm.RoleModel({("step", a, b): int(rng.integers(0, 50))
+                                for a in chat_hmm.ROLES for b in chat_hmm.ROLES})
+    for n in (1, 5, 13, 60):
+        emits = np.log(rng.random((n, 3)))
+        parts = [emits[i:i + 2] for i in range(0, n, 2)]
+        blocks = [chat_hmm.block_matrix(model, p, i == 0) for i, p in enumerate(parts)]
+        spans = [blocks[i:i + 3] for i in range(0, len(blocks), 3)]
+        fixed = chat_hmm.borders([chat_hmm.product(s) for s in spans])
+        ends = [e for s, (a, b) in zip(spans, fixed) for e in chat_hmm.borders(s, a, b)]
+        got = [r for i, (p, (a, b)) in enumerate(zip(parts, ends))
+               for r in chat_hmm.trace(model, p, a, b, i == 0)]
+        assert got == plain_viterbi(model, emits)
+
+
+def test_small_spans_give_the_same_turns(spark, monkeypatch):
+    rows = [(c, i, None, f"{'User: ' if i % 5 == 0 else 'AI: ' if i % 5 == 2 else ''}line {i} of {c}")
+            for c in (1, None, 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "conv_id int, turn long, role string, text string")
+
+    def done():
+        return sorted(map(str, chat_hmm.format_chats(df).collect()))
+
+    want = done()
+    monkeypatch.setattr(chat_hmm, "BLOCK", 4)
+    monkeypatch.setattr(chat_hmm, "SPAN", 3)
+    assert done() == want
