@@ -41,6 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from nextbest.llm.common import checkpointed, column, py_lower_ascii, slices
 
@@ -213,7 +214,8 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (doc_id, ``keep`` columns, item_id, n_common, n_shingles, containment)."""
     kept = [doc_id, *keep]
-    schema = docs.select(*kept).schema.add("__item", "long").add("n_common", "integer").add(
+    kind = items.schema[item_id].dataType
+    schema = docs.select(*kept).schema.add("__item", kind).add("n_common", "integer").add(
         "n_shingles", "integer")
     found = []
     for block in item_blocks(items, item_id, item_text, shingle_words, threshold, sketch,
@@ -230,7 +232,7 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
                     continue
                 cols = [batch.column(batch.schema.get_field_index(c)).take(pa.array(rows))
                         for c in kept]
-                cols.append(pa.array([searched.ids[h[0]] for h in hits], pa.int64()))
+                cols.append(pa.array([searched.ids[h[0]] for h in hits], to_arrow_type(kind)))
                 cols += [pa.array([h[i] for h in hits], pa.int32()) for i in (1, 2)]
                 yield pa.RecordBatch.from_arrays(
                     cols, names=[*kept, "__item", "n_common", "n_shingles"])

@@ -202,14 +202,16 @@ def training_rows(featured: DataFrame, labels: DataFrame, label: str, folds: int
                   max_rows: int) -> DataFrame:
     """(x, y) of labelled rows outside the held-out fold: at most ``max_rows``, by smallest hash.
 
-    An id with several labels takes the largest.  The picked labels are bounded
-    by ``max_rows``, so they are broadcast and no features are shuffled.
+    An id with several labels takes the largest, one with several texts the
+    smallest features.  The picked labels are bounded by ``max_rows``, so they
+    are broadcast and no other features are shuffled.
     """
     use = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                        & (fold(F.col("doc_id"), folds) != held_out))
     use = use.groupBy("doc_id").agg(F.max(F.col(label).cast("double")).alias("y"))
     picked = checkpointed(hash_sample(use, "doc_id", max_rows))
-    return featured.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    return featured.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.min("x").alias("x"), F.max("y").alias("y"))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",

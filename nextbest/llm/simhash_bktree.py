@@ -256,15 +256,16 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     with the smallest row hash stays.  Only ids and hashes are grouped; the rows
     themselves are shuffled once, to meet the ids that stay.
     """
-    row = "__row"
-    hashed = docs.withColumn(row, F.xxhash64(*docs.columns))
-    found = near_duplicates(hashed, doc_id, text, shingle_words, radius, max_shard, keep=(row,))
+    rows = docs.select(F.struct("*").alias("__all"), F.col(doc_id).alias("__id"),
+                       F.col(text).alias("__text"))
+    hashed = rows.withColumn("__row", F.xxhash64(F.to_json("__all")))  # maps can't be hashed
+    found = near_duplicates(hashed, "__id", "__text", shingle_words, radius, max_shard, ("__row",))
     first = found.groupBy("group").agg(F.min(F.struct(
-        F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
+        F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row")))
         .alias("first")).select("first.id", F.col("first.row").alias("row"))
-    kept = hashed.join(first, hashed[doc_id].eqNullSafe(first["id"]) & (hashed[row] == first["row"]),
-                       "left_semi")
-    return kept.dropDuplicates([doc_id, row]).select(*docs.columns)
+    kept = hashed.join(first, hashed["__id"].eqNullSafe(first["id"])
+                       & (hashed["__row"] == first["row"]), "left_semi")
+    return kept.dropDuplicates(["__id", "__row"]).select("__all.*")
 
 
 def hex_fingerprint(fp):

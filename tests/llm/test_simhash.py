@@ -101,3 +101,13 @@ def test_query_equals_brute_force(spark):
     got = {r.doc_id: (r.fingerprint, r.component_id)
            for r in op3_simhash_dedup(spark, SF_SMALL).collect()}
     assert got == want
+
+
+def test_one_of_each_keeps_any_columns(spark):
+    """Columns named like the operator's own, and maps, come back as they were."""
+    rows = [(1, "a b c d e f", 5), (2, "a b c d e f", 6), (2, "a b c d e f", 6), (3, "other words here now", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row int").selectExpr(
+        "*", "map('k', __row) as fp", "__row as __id")
+    kept = sh.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__row"], r.fp["k"]) for r in kept.collect()) == [(1, 5, 5), (3, 7, 7)]
