@@ -263,8 +263,9 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     first = found.groupBy("group").agg(F.min(F.struct(
         F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row")))
         .alias("first")).select("first.id", F.col("first.row").alias("row"))
-    kept = hashed.join(first, hashed["__id"].eqNullSafe(first["id"])
-                       & (hashed["__row"] == first["row"]), "left_semi")
+    whole = hashed.drop("__text")  # the rows have it
+    kept = whole.join(first, whole["__id"].eqNullSafe(first["id"])
+                      & (whole["__row"] == first["row"]), "left_semi")
     return kept.dropDuplicates(["__id", "__row"]).select("__all.*")
 
 
