@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nextbest.operators.joins import split_join
@@ -99,17 +99,38 @@ def brand_catalogue(t: Tables) -> list[str]:
     return sorted(r["p_brand"] for r in rows)
 
 
+#: Products whose flags share one number.
+_MASK_BITS = 63
+
+
 def brand_flags(t: Tables, cutoff: str | None = TRAIN_CUTOFF) -> DataFrame:
     """Wide snapshot: one row per order (before ``cutoff``, None: all), one 0/1 column per brand.
 
     Orders without line items keep a row of zeros (they still count as instances).
+    An order's brands are the bits of one number (per 63 brands) until the last
+    projection, so no shuffle, sort or aggregate holds a column per brand.
     """
     orders, brands = orders_between(t, None, cutoff), brand_catalogue(t)
-    facts = basket(t, orders)
-    wide = facts.groupBy("o_orderkey").pivot("product", brands).agg(F.count(F.lit(1)))
-    out = orders.join(wide, "o_orderkey", "left")
-    return out.select("o_orderkey", "customer",
-                      *[F.coalesce(F.col(f"`{b}`"), F.lit(0)).cast("int").alias(b) for b in brands])
+    masks = [f"__m{w}" for w in range(-(-len(brands) // _MASK_BITS))]
+    place = F.array_position(F.lit(brands), F.col("p_brand")).cast("int") - 1
+    part = t.read("part", ["p_partkey", "p_brand"]).where("p_brand is not null").select(
+        "p_partkey", place.alias("__place")).select("p_partkey", *[
+            F.when(F.floor(F.col("__place") / _MASK_BITS) == w, F.call_function(
+                "shiftleft", F.lit(1).cast("bigint"), F.col("__place") - w * _MASK_BITS)).alias(m)
+            for w, m in enumerate(masks)])
+    li = t.read("lineitem", ["l_orderkey", "l_partkey"])
+    # dealt out first: an order's lines may be far apart, then map tasks would hold all keys
+    lines = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", *masks)
+    owned = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
+        *[F.bit_or(m).alias(m) for m in masks])
+    # an order key that several customers share counts once for each of them
+    holder = F.when(F.col("l_orderkey").isNotNull(), F.struct("customer"))
+    out = orders.join(owned, orders.o_orderkey == owned.l_orderkey, "left").withColumn(
+        "__holders", F.size(F.collect_set(holder).over(Window.partitionBy("o_orderkey"))))
+    flag = [F.getbit(masks[k // _MASK_BITS], F.lit(k % _MASK_BITS)) for k in range(len(brands))]
+    return out.select("o_orderkey", "customer", *[
+        F.coalesce(f * F.col("__holders"), F.lit(0)).cast("int").alias(b)
+        for f, b in zip(flag, brands)])
 
 
 # Fixed values of the stand-in: relation-month text per order priority.

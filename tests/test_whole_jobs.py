@@ -1,8 +1,13 @@
-"""Whole jobs over hand-made tables: complete results."""
+"""Whole jobs over hand-made tables: complete results, and rows that stay narrow on the way."""
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
+from nextbest.operators import clean, features
 from nextbest.plans import queries as R
+from nextbest.plans import standins as S
 
 
 def _tables(spark, folder, customers, orders, lines, parts):
@@ -19,6 +24,13 @@ def _tables(spark, folder, customers, orders, lines, parts):
     return str(folder)
 
 
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
 def test_sorted_records_are_the_ranked_lists(spark, tmp_path):
     """Every scored customer, cold ones too, with the best products that are not owned yet."""
     sf = _tables(spark, tmp_path,
@@ -30,3 +42,33 @@ def test_sorted_records_are_the_ranked_lists(spark, tmp_path):
         (r for r in ranked if r.customer == c), key=lambda r: r["rank"]))) for c in (1, 2, 10)]
     assert [tuple(r) for r in R.queries()["sort_records"](spark, sf).collect()] == want
     assert want == [(1, "1,b c"), (2, "2,a"), (10, "10,b a c")]
+
+
+@pytest.mark.parametrize("brands", [3, 63, 130])
+def test_flags_are_one_number_until_the_last_projection(spark, tmp_path, brands):
+    parts = [(k, f"B.{k:03d}") for k in range(brands)] + [(900, None), (1, "B.000")]
+    last = brands - 1
+    orders = [(1, 7, "1995-01-01"), (1, 7, "1995-01-01"), (2, None, "1995-01-01"),
+              (3, 8, "1997-01-01"), (4, 8, "1995-01-01"), (5, 1, "1995-01-01"),
+              (5, 2, "1995-01-01"), (None, 3, "1995-01-01"), (None, 4, "1995-01-01")]
+    lines = [(1, last), (1, last), (1, 1), (2, 0), (3, 2), (4, 900), (5, 2), (9, 0), (None, 0),
+             (1, None)]
+    t = S.Tables(spark, _tables(spark, tmp_path, [(1, 1, "X", 1.0)], orders, lines, parts))
+    wide = S.brand_flags(t, cutoff=None)
+    names = [f"B.{k:03d}" for k in range(brands)]
+    assert wide.columns == ["o_orderkey", "customer", *names]
+    # the key that two customers share has a 2, as ever
+    owned = {1: {0: 1, 1: 1, last: 1}, 2: {0: 1}, 3: {2: 1}, 5: {2: 2}}
+    want = sorted(str((k, c, *[owned.get(k, {}).get(b, 0) for b in range(brands)]))
+                  for k, c, _ in orders)
+    assert sorted(str(tuple(r)) for r in wide.collect()) == want
+    assert S.brand_flags(t).count() == 8
+    quoted = {f"`{b}`": f"f{k}" for k, b in enumerate(names)}
+    flags = wide.select("o_orderkey", *[F.col(q).alias(f) for q, f in quoted.items()])
+    assert clean.select_by_regex(flags, "f[0-9]+").columns == list(quoted.values())
+    long = features.purchase_long(flags, ["o_orderkey"], list(quoted.values()))
+    assert {(r.o_orderkey, r["product"]) for r in long.collect()} == {
+        (k, f"f{b}") for k, v in owned.items() for b, n in v.items() if n == 1}
+    held = [n for n in _nodes(wide._jdf.queryExecution().sparkPlan())
+            if any(x in n.nodeName() for x in ("Aggregate", "Join", "Window", "Exchange", "Sort"))]
+    assert held and max(n.output().size() for n in held) <= 6 + -(-brands // 63)
