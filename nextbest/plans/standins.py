@@ -46,16 +46,33 @@ def orders_between(t: Tables, start: str | None, end: str | None) -> DataFrame:
     return o.select("o_orderkey", F.col("o_custkey").alias("customer"))
 
 
+#: Lines of orders that one task joins and aggregates.
+TASK_LINES = 500_000
+
+
+def _by_order(t: Tables, lines: DataFrame) -> DataFrame:
+    """``lines`` dealt out by order key, over as many tasks as the number of lines asks for.
+
+    Counting a parquet table reads its footers only.  A number that is given
+    stays as it is: AQE would merge partitions until there are few tasks, each
+    with a share of the table.
+    """
+    tasks = -(-t.read("lineitem").count() // TASK_LINES)
+    return lines.repartition(max(tasks, t.spark.sparkContext.defaultParallelism), "l_orderkey")
+
+
 def purchase_lines(t: Tables, orders: DataFrame) -> DataFrame:
     """``(o_orderkey, customer, product)``, one row per line item, repeats included.
 
-    Join order and strategy are left to Catalyst and AQE (the date filter is
+    Lines meet their part first and are then dealt out by order, so that the join
+    with the orders and what is grouped by order after it need no further shuffle
+    of the lines.  Join strategy is left to Catalyst and AQE (the date filter is
     pushed into the orders scan; only key columns are read from lineitem).
     """
     li = t.read("lineitem", ["l_orderkey", "l_partkey"])
     part = t.read("part", ["p_partkey", "p_brand"])
-    return (orders.join(li, orders.o_orderkey == li.l_orderkey)
-            .join(part, li.l_partkey == part.p_partkey)
+    lines = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_brand")
+    return (orders.join(_by_order(t, lines), F.col("o_orderkey") == F.col("l_orderkey"))
             .select("o_orderkey", "customer", F.col("p_brand").alias("product")))
 
 
@@ -121,7 +138,7 @@ def brand_flags(t: Tables, cutoff: str | None = TRAIN_CUTOFF) -> DataFrame:
     li = t.read("lineitem", ["l_orderkey", "l_partkey"])
     # dealt out first: an order's lines may be far apart, then map tasks would hold all keys
     lines = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", *masks)
-    owned = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
+    owned = _by_order(t, lines).groupBy("l_orderkey").agg(
         *[F.bit_or(m).alias(m) for m in masks])
     # an order key that several customers share counts once for each of them
     holder = F.when(F.col("l_orderkey").isNotNull(), F.struct("customer"))

@@ -72,3 +72,24 @@ def test_flags_are_one_number_until_the_last_projection(spark, tmp_path, brands)
     held = [n for n in _nodes(wide._jdf.queryExecution().sparkPlan())
             if any(x in n.nodeName() for x in ("Aggregate", "Join", "Window", "Exchange", "Sort"))]
     assert held and max(n.output().size() for n in held) <= 6 + -(-brands // 63)
+
+
+def test_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    """Lines are dealt out by order over as many tasks as they need; AQE doesn't merge those."""
+    orders = [(k, k % 5, "1995-01-01") for k in range(40)] + [(3, 9, "1995-01-01"), (3, 3, "1995-01-01"),
+                                                              (None, 1, "1995-01-01")]
+    lines = [(k % 45, k % 4) for k in range(200)] + [(None, 1), (2, None)]
+    parts = [(0, "a"), (1, "b"), (2, None), (3, "c"), (3, "d")]
+    t = S.Tables(spark, _tables(spark, tmp_path, [(1, 1, "X", 1.0)], orders, lines, parts))
+    names = {k: [b for p, b in parts if p == k] for k in range(4)}
+    want = sorted(str((o, c, b)) for o, c, _ in orders for l, p in lines if o is not None and l == o
+                  and p is not None for b in names[p])
+    plain = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(S, "TASK_LINES", 3)
+    tasks = -(-len(lines) // 3)
+    assert tasks > plain
+    for frame, expected in ((S.purchase_lines(t, S.orders_between(t, None, None)), want),
+                            (S.basket(t, S.orders_between(t, None, None)), sorted(set(want)))):
+        assert sorted(str(tuple(r)) for r in frame.collect()) == expected
+        assert frame.rdd.getNumPartitions() == tasks
+    assert S.brand_flags(t, cutoff=None).count() == len(orders)
